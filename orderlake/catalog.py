@@ -58,6 +58,10 @@ def q_return_rate_by_payment(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    return {**_core(), **STREAM_QUERIES}
+
+
+def _core() -> dict[str, Query]:
     return {
         "sales_projection": q_sales_projection,
         "dim_customer": _dim("dim_customer"),
@@ -72,3 +76,95 @@ def queries() -> dict[str, Query]:
         "revenue_by_category_quarter": q_revenue_by_category_quarter,
         "return_rate_by_payment": q_return_rate_by_payment,
     }
+
+
+# ---------------------------------------------------------------- sources & streams
+from orderlake.config import scratch_path  # noqa: E402
+from orderlake.functions.codec import decode_events  # noqa: E402
+from orderlake.operators.slicing import positional_slice, produce_batch  # noqa: E402
+from orderlake.schemas import SALES_COLUMNS  # noqa: E402
+from orderlake.sources.csv import read_sales_csv, write_sales_csv  # noqa: E402
+from orderlake.sources.eventlog import EventLog, peek_events, publish_events, read_events  # noqa: E402
+from orderlake.sources.faults import damage_events  # noqa: E402
+from orderlake.streaming.ingest import IngestPaths, ingest, read_bronze  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+# Producer slice size for the resume query (the reference sends 500 per run;
+# a larger slice keeps the number of simulated runs small, not the data).
+RESUME_SLICE_ROWS = 20_000
+
+
+def _paths(root: str) -> IngestPaths:
+    return IngestPaths(f"{root}/bronze", f"{root}/quarantine", f"{root}/_checkpoint")
+
+
+def q_csv_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "csv") + "/sales"
+    write_sales_csv(sales_projection(spark, sf_dir), path)
+    return read_sales_csv(spark, path)
+
+
+def q_json_round_trip(spark, sf_dir):
+    log = EventLog("files", path=scratch_path(spark, "events"))
+    publish_events(sales_projection(spark, sf_dir), log)
+    return decode_events(read_events(spark, log)).select(*SALES_COLUMNS)
+
+
+def q_bounded_slice(spark, sf_dir):
+    return positional_slice(sales_projection(spark, sf_dir), "order_id", 500, 500)
+
+
+def q_peek_events(spark, sf_dir):
+    log = EventLog("files", path=scratch_path(spark, "events"))
+    publish_events(sales_projection(spark, sf_dir), log)
+    return peek_events(spark, log, 5)
+
+
+def q_stream_ingest_dedup(spark, sf_dir):
+    """Three hash slices published, the first one redelivered; ingest keeps one copy."""
+    root = scratch_path(spark, "ingest")
+    log = EventLog("files", path=f"{root}/log")
+    sales = sales_projection(spark, sf_dir).withColumn("_slice", F.pmod(F.xxhash64("order_id"), F.lit(3)))
+    for s in (0, 1, 2, 0):
+        publish_events(sales.where(F.col("_slice") == s).drop("_slice"), log)
+    paths = _paths(root)
+    ingest(spark, log, paths, max_per_trigger=4)
+    return read_bronze(spark, paths.bronze)
+
+
+def q_stream_quarantine(spark, sf_dir):
+    root = scratch_path(spark, "quarantine")
+    log = EventLog("files", path=f"{root}/log")
+    damage_events(sales_projection(spark, sf_dir)).write.text(log.path)
+    paths = _paths(root)
+    ingest(spark, log, paths)
+    return spark.read.parquet(paths.quarantine).select("order_id", "reject_reason")
+
+
+def q_incremental_resume(spark, sf_dir):
+    """Producer runs resume from the control table; each run is followed by an ingest run."""
+    root = scratch_path(spark, "resume")
+    write_sales_csv(sales_projection(spark, sf_dir), f"{root}/source_csv")
+    source = read_sales_csv(spark, f"{root}/source_csv")
+    log = EventLog("files", path=f"{root}/log")
+    paths = _paths(root)
+    run = 0
+    while True:
+        sent = produce_batch(spark, source, "order_id", RESUME_SLICE_ROWS, f"{root}/_control",
+                             "sales_csv", f"run-{run}", lambda b: publish_events(b, log))
+        ingest(spark, log, paths)
+        run += 1
+        if sent == 0:
+            break
+    return read_bronze(spark, paths.bronze)
+
+
+STREAM_QUERIES = {
+    "csv_round_trip": q_csv_round_trip,
+    "json_round_trip": q_json_round_trip,
+    "bounded_slice": q_bounded_slice,
+    "peek_events": q_peek_events,
+    "stream_ingest_dedup": q_stream_ingest_dedup,
+    "stream_quarantine": q_stream_quarantine,
+    "incremental_resume": q_incremental_resume,
+}
