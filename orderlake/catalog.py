@@ -58,7 +58,7 @@ def q_return_rate_by_payment(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return {**_core(), **STREAM_QUERIES}
+    return {**_core(), **STREAM_QUERIES, **GOLD_QUERIES}
 
 
 def _core() -> dict[str, Query]:
@@ -168,3 +168,139 @@ STREAM_QUERIES = {
     "stream_quarantine": q_stream_quarantine,
     "incremental_resume": q_incremental_resume,
 }
+
+
+# ---------------------------------------------------------------- gold, quality, publish
+from orderlake.operators import quality  # noqa: E402
+from orderlake.operators.keys import update_key_map  # noqa: E402
+from orderlake.plans.daily_run import RunConfig, daily_run  # noqa: E402
+from orderlake.plans.publish import Warehouse, load_all, load_dimension, load_fact, open_table, write_table  # noqa: E402
+from orderlake.schemas import GOLD_TABLES  # noqa: E402
+from orderlake.sources.faults import order_key  # noqa: E402
+
+# Planted-fault rules for the quality checks (modulus on the order key).
+NULL_REGION_EVERY = 10
+NULL_CUSTOMER_EVERY = 101
+BAD_DISCOUNT_EVERY = 103
+REPEATED_ORDER_EVERY = 107
+ORPHAN_PRODUCT_EVERY = 109
+# Incremental steps split orders by date: orders before this date arrive first.
+FIRST_STEP_BEFORE = "1998-01-01"
+
+
+def q_fact_null_fk(spark, sf_dir):
+    sales = sales_projection(spark, sf_dir)
+    sales = sales.withColumn("region", F.when(order_key() % NULL_REGION_EVERY == 0, F.lit(None))
+                             .otherwise(F.col("region")))
+    return star_schema(sales)["fact_sales"]
+
+
+def faulted_gold(spark, sf_dir) -> dict[str, DataFrame]:
+    """Gold built the reference's way (no validation, every bronze row kept) from
+    damaged sales, then a fact loaded against stale product keys."""
+    sales = sales_projection(spark, sf_dir)
+    k = order_key()
+    sales = (sales
+             .withColumn("customer_id", F.when(k % NULL_CUSTOMER_EVERY == 0, F.lit(None))
+                         .otherwise(F.col("customer_id")))
+             .withColumn("discount", F.when(k % BAD_DISCOUNT_EVERY == 0, F.lit(1.5))
+                         .otherwise(F.col("discount"))))
+    sales = sales.unionByName(sales.where(k % REPEATED_ORDER_EVERY == 0))
+    star = star_schema(sales, validate=False, dedupe=False)
+    tables = dict(star.tables)
+    fk = order_key("order_id")
+    tables["fact_sales"] = tables["fact_sales"].withColumn(
+        "product_id", F.when(fk % ORPHAN_PRODUCT_EVERY == 0, F.concat("product_id", F.lit("-x")))
+        .otherwise(F.col("product_id")))
+    return tables
+
+
+def _dq(kind: str) -> Query:
+    def q(spark, sf_dir):
+        return quality.run_checks(faulted_gold(spark, sf_dir), (kind,))
+    q.__name__ = f"q_dq_{kind}"
+    return q
+
+
+def q_dim_incremental_keys(spark, sf_dir):
+    path = scratch_path(spark, "keymap")
+    sales = sales_projection(spark, sf_dir)
+    first = sales.where(F.col("order_date") < FIRST_STEP_BEFORE).select("customer_id")
+    update_key_map(spark, path, first, "customer_id", "customer_key")
+    return update_key_map(spark, path, sales.select("customer_id"), "customer_id", "customer_key")
+
+
+def q_fact_replay(spark, sf_dir):
+    """Two runs (orders before / from the cut date), the second one replayed."""
+    wh = Warehouse(scratch_path(spark, "wh"))
+    sales = sales_projection(spark, sf_dir)
+    star = star_schema(sales, key_maps={"dim_region": wh.key_map("dim_region"),
+                                        "dim_payment": wh.key_map("dim_payment")})
+    fact = star["fact_sales"].withColumn("_first", F.col("date_key") < int(FIRST_STEP_BEFORE.replace("-", "")))
+    load_fact(spark, wh, fact.where("_first"), "run-1")
+    load_fact(spark, wh, fact.where(~F.col("_first")), "run-2")
+    load_fact(spark, wh, fact.where(~F.col("_first")), "run-2")
+    return open_table(spark, wh, "fact_sales")
+
+
+def q_publish_dimensions(spark, sf_dir):
+    """dim_customer published from the early orders, then swapped for the full build."""
+    wh = Warehouse(scratch_path(spark, "wh"))
+    sales = sales_projection(spark, sf_dir)
+    early = star_schema(sales.where(F.col("order_date") < FIRST_STEP_BEFORE))
+    load_dimension(spark, wh, "dim_customer", early["dim_customer"], "run-1")
+    load_dimension(spark, wh, "dim_customer", star_schema(sales)["dim_customer"], "run-2")
+    return open_table(spark, wh, "dim_customer")
+
+
+def q_publish_all(spark, sf_dir):
+    """Publish every gold table behind the quality gate, then report Q2 from the published tables."""
+    from orderlake.plans.daily_run import quality_gate
+
+    wh = Warehouse(scratch_path(spark, "wh"))
+    star = star_schema(sales_projection(spark, sf_dir),
+                       key_maps={"dim_region": wh.key_map("dim_region"),
+                                 "dim_payment": wh.key_map("dim_payment")})
+    load_all(spark, wh, star.tables, "run-1", gate=quality_gate())
+    return reports.revenue_by_region(spark.table("fact_sales"), spark.table("dim_region"))
+
+
+def q_gold_run_metrics(spark, sf_dir):
+    """Rows per gold table as observed by the writes themselves (no count jobs)."""
+    root = scratch_path(spark, "gold")
+    star = _gold(spark, sf_dir, sort_dates=True)
+    counts = [(n, write_table(df, f"{root}/{n}")) for n, df in star.tables.items()]
+    return spark.createDataFrame(counts, "tbl string, cnt bigint")
+
+
+def q_end_to_end_run(spark, sf_dir):
+    """CSV file -> producer runs -> stream ingest -> gold -> gate -> publish, then Q1."""
+    root = scratch_path(spark, "daily")
+    write_sales_csv(sales_projection(spark, sf_dir), f"{root}/source_csv")
+    source = read_sales_csv(spark, f"{root}/source_csv")
+    cfg = RunConfig(log=EventLog("files", path=f"{root}/log"), lake_root=f"{root}/lake",
+                    warehouse=Warehouse(f"{root}/wh"), slice_rows=RESUME_SLICE_ROWS * 2)
+    run = 0
+    while True:
+        report = daily_run(spark, cfg, f"run-{run:04d}", source=source)
+        run += 1
+        if not report.sent:
+            break
+    return reports.table_counts({n: open_table(spark, cfg.warehouse, n) for n in GOLD_TABLES})
+
+
+GOLD_QUERIES = {
+    "fact_null_fk": q_fact_null_fk,
+    "dq_not_empty": _dq("not_empty"),
+    "dq_null_keys": _dq("not_null"),
+    "dq_duplicate_keys": _dq("unique_key"),
+    "dq_orphans": _dq("foreign_key"),
+    "dq_domains": _dq("domain"),
+    "dq_lengths": _dq("max_length"),
+    "dim_incremental_keys": q_dim_incremental_keys,
+    "fact_replay": q_fact_replay,
+    "publish_dimensions": q_publish_dimensions,
+    "publish_all": q_publish_all,
+    "gold_run_metrics": q_gold_run_metrics,
+    "end_to_end_run": q_end_to_end_run,
+}

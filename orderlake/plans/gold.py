@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from orderlake.functions.dates import parse_order_date
 from orderlake.operators import dims
 from orderlake.operators.fact import build_fact_sales
+from orderlake.operators.keys import update_key_map
 
 
 def split_valid(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -41,14 +42,30 @@ class StarSchema:
         return self.tables[name]
 
 
-def star_schema(bronze: DataFrame, validate: bool = True, sort_dates: bool = False) -> StarSchema:
-    """Lazy gold frames from bronze rows (SALES schema)."""
+def star_schema(bronze: DataFrame, validate: bool = True, sort_dates: bool = False,
+                key_maps: dict[str, str] | None = None, fact_input: DataFrame | None = None,
+                dedupe: bool = True) -> StarSchema:
+    """Lazy gold frames from bronze rows (SALES schema).
+
+    ``key_maps`` (dim name -> path) makes region/payment ids stable across runs
+    through persisted key maps; ``fact_input`` restricts the fact to some bronze
+    rows (an incremental run's new batches) while dimensions see all of bronze.
+    """
     if validate:
         good, bad = split_valid(bronze)
     else:
-        good, bad = bronze, bronze.limit(0).withColumn("reject_reason", F.lit(None).cast("string"))
-    dim_region = dims.build_dim_region(good)
-    dim_payment = dims.build_dim_payment(good)
+        good, bad = bronze, bronze.where(F.lit(False)).withColumn("reject_reason", F.lit(None).cast("string"))
+    if key_maps:
+        spark = bronze.sparkSession
+        dim_region = update_key_map(spark, key_maps["dim_region"],
+                                    good.select(F.col("region").alias("region_name")),
+                                    "region_name", "region_id").select("region_id", "region_name")
+        dim_payment = update_key_map(spark, key_maps["dim_payment"], good.select("payment_method"),
+                                     "payment_method", "payment_id").select("payment_id", "payment_method")
+    else:
+        dim_region = dims.build_dim_region(good)
+        dim_payment = dims.build_dim_payment(good)
+    fact_rows = good if fact_input is None else (split_valid(fact_input)[0] if validate else fact_input)
     # Both are checkpointed by the key numbering: counting them reads only the
     # checkpoint, and the count is the proof that allows a broadcast.
     known = {"dim_region": dim_region.count(), "dim_payment": dim_payment.count()}
@@ -58,7 +75,7 @@ def star_schema(bronze: DataFrame, validate: bool = True, sort_dates: bool = Fal
         "dim_date": dims.build_dim_date(good, sort=sort_dates),
         "dim_region": dim_region,
         "dim_payment": dim_payment,
-        "fact_sales": build_fact_sales(good, dim_region, dim_payment,
-                                       known["dim_region"], known["dim_payment"]),
+        "fact_sales": build_fact_sales(fact_rows, dim_region, dim_payment,
+                                       known["dim_region"], known["dim_payment"], dedupe=dedupe),
     }
     return StarSchema(tables, bad, known)
