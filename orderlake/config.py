@@ -40,3 +40,15 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared root."""
     return f"{shared_root(spark)}/orderlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared root and read it back.
+
+    Cuts lineage (a lost executor recomputes from files, not from the whole
+    upstream plan) and lets every later reader prune columns.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -6,10 +6,12 @@ numbered the way ``zipWithIndex`` does it, in DataFrame form:
 
 1. range-partition and sort the distinct new keys (distributed sort);
 2. tag each row with its partition and position (``monotonically_increasing_id``
-   packs both) and *checkpoint*, so later reads see one fixed layout;
+   packs both) and write it to the shared folder, so later reads see one fixed
+   numbering (one pass; a re-run after executor loss reads the files);
 3. count rows per partition (one row per partition), turn the counts into
    running offsets and broadcast them (their size is the partition count);
-4. id = base + offset(partition) + position.
+4. id = base + offset(partition) + position, written once more (small), so the
+   result's row count is known from file metadata.
 
 The result equals ``row_number() over (order by key) - 1 + base`` but no step
 holds more than one partition.  A persisted key map makes ids stable across
@@ -21,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderlake.config import materialize
 from orderlake.operators.dedupe import distinct_values
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
@@ -28,12 +31,10 @@ _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 def dense_rank_distinct(keys: DataFrame, key_col: str, id_col: str, base: int = 0) -> DataFrame:
     """Number distinct non-NULL ``key_col`` values ``base, base+1, ...`` in key order."""
-    ordered = (
+    ordered = materialize(
         distinct_values(keys, [key_col])
         .orderBy(key_col)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+        .withColumn("_mid", F.monotonically_increasing_id()), "keys-sorted")
     part = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     tagged = ordered.select(key_col, part.alias("_part"), pos.alias("_pos"))
@@ -41,10 +42,9 @@ def dense_rank_distinct(keys: DataFrame, key_col: str, id_col: str, base: int =
     # One row per partition of `ordered`: a bounded, tiny table.
     running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
-    return (
-        tagged.join(F.broadcast(offsets), "_part")
-        .select(key_col, (F.lit(base) + F.col("_off") + F.col("_pos")).cast("long").alias(id_col))
-    )
+    numbered = tagged.join(F.broadcast(offsets), "_part").select(
+        key_col, (F.lit(base) + F.col("_off") + F.col("_pos")).cast("long").alias(id_col))
+    return materialize(numbered, "keys-numbered")
 
 
 def extend_key_map(key_map: DataFrame | None, keys: DataFrame, key_col: str, id_col: str) -> DataFrame:
