@@ -18,6 +18,7 @@ table instead of a count job plus a write job.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,6 +36,7 @@ MANIFEST_SCHEMA = StructType([
     StructField("seq", LongType(), False),
 ])
 RUN_COL = "run_id"
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -66,7 +68,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    log.info("wrote %d rows to %s (mode=%s)", rows, path, mode)  # A1: counted by the write itself
+    return rows
 
 
 # --------------------------------------------------------------------- manifest

@@ -87,3 +87,15 @@ def test_daily_runs_are_incremental_and_repeatable(spark):
                       "dim_region": 5, "fact_sales": 5999}
     fact = open_table(spark, cfg.warehouse, "fact_sales")
     assert fact.select("order_id").distinct().count() == 5999
+
+
+def test_session_catalog_connector(spark, star):
+    from orderlake.sources.warehouse import Connector, read_query, write_table
+
+    root = scratch_path(spark, "conn")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS orderlake_conn LOCATION '{root}'")
+    conn = Connector()
+    write_table(star["dim_payment"], conn, "orderlake_conn.dim_payment_temp")
+    got = read_query(spark, conn, "SELECT COUNT(*) AS n FROM orderlake_conn.dim_payment_temp "
+                                  "WHERE payment_method LIKE '%URGENT%'").first()["n"]
+    assert got == 1
