@@ -24,8 +24,11 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(sales_projection(spark, sf_dir), "bronze")
 
 
-def _gold(spark: SparkSession, sf_dir: str, sort_dates: bool = False):
-    return star_schema(bronze_table(spark, sf_dir), sort_dates=sort_dates)
+def _gold(spark: SparkSession, sf_dir: str, sort_dates: bool = False, reuse: bool = True):
+    """Star schema over the sales projection; ``reuse`` materialises bronze first
+    (worth it when several gold tables read it, as the fact and reports do)."""
+    bronze = bronze_table(spark, sf_dir) if reuse else sales_projection(spark, sf_dir)
+    return star_schema(bronze, sort_dates=sort_dates)
 
 
 def q_sales_projection(spark, sf_dir):
@@ -34,7 +37,7 @@ def q_sales_projection(spark, sf_dir):
 
 def _dim(name: str, sort_dates: bool = False) -> Query:
     def q(spark, sf_dir):
-        return _gold(spark, sf_dir, sort_dates)[name]
+        return _gold(spark, sf_dir, sort_dates, reuse=name == "fact_sales")[name]
     q.__name__ = f"q_{name}"
     return q
 

@@ -7,7 +7,7 @@ checkpointed, so their row counts are cheap and proven).  ``write_gold`` (in
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +32,23 @@ def split_valid(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-@dataclass
 class StarSchema:
-    tables: dict[str, DataFrame]
-    rejected: DataFrame
-    known_rows: dict[str, int] = field(default_factory=dict)
+    """Gold frames built on first access (a query needing one dimension builds only it)."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]], rejected: DataFrame):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+        self.rejected = rejected
+        self.known_rows: dict[str, int] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.tables[name]
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    @property
+    def tables(self) -> dict[str, DataFrame]:
+        return {n: self[n] for n in self._builders}
 
 
 def star_schema(bronze: DataFrame, validate: bool = True, sort_dates: bool = False,
@@ -55,27 +64,37 @@ def star_schema(bronze: DataFrame, validate: bool = True, sort_dates: bool = Fal
         good, bad = split_valid(bronze)
     else:
         good, bad = bronze, bronze.where(F.lit(False)).withColumn("reject_reason", F.lit(None).cast("string"))
-    if key_maps:
-        spark = bronze.sparkSession
-        dim_region = update_key_map(spark, key_maps["dim_region"],
-                                    good.select(F.col("region").alias("region_name")),
-                                    "region_name", "region_id").select("region_id", "region_name")
-        dim_payment = update_key_map(spark, key_maps["dim_payment"], good.select("payment_method"),
-                                     "payment_method", "payment_id").select("payment_id", "payment_method")
-    else:
-        dim_region = dims.build_dim_region(good)
-        dim_payment = dims.build_dim_payment(good)
+    spark = bronze.sparkSession
+
+    def region() -> DataFrame:
+        if key_maps:
+            return update_key_map(spark, key_maps["dim_region"], good.select(F.col("region").alias("region_name")),
+                                  "region_name", "region_id").select("region_id", "region_name")
+        return dims.build_dim_region(good)
+
+    def payment() -> DataFrame:
+        if key_maps:
+            return update_key_map(spark, key_maps["dim_payment"], good.select("payment_method"),
+                                  "payment_method", "payment_id").select("payment_id", "payment_method")
+        return dims.build_dim_payment(good)
+
     fact_rows = good if fact_input is None else (split_valid(fact_input)[0] if validate else fact_input)
-    # Both are checkpointed by the key numbering: counting them reads only the
-    # checkpoint, and the count is the proof that allows a broadcast.
-    known = {"dim_region": dim_region.count(), "dim_payment": dim_payment.count()}
-    tables = {
-        "dim_customer": dims.build_dim_customer(good),
-        "dim_product": dims.build_dim_product(good),
-        "dim_date": dims.build_dim_date(good, sort=sort_dates),
-        "dim_region": dim_region,
-        "dim_payment": dim_payment,
-        "fact_sales": build_fact_sales(fact_rows, dim_region, dim_payment,
-                                       known["dim_region"], known["dim_payment"], dedupe=dedupe),
-    }
-    return StarSchema(tables, bad, known)
+    star: StarSchema
+
+    def fact() -> DataFrame:
+        # The key dimensions are materialised by their numbering: their row
+        # counts come from file metadata and prove the broadcast is small.
+        r, p = star["dim_region"], star["dim_payment"]
+        star.known_rows.update(dim_region=r.count(), dim_payment=p.count())
+        return build_fact_sales(fact_rows, r, p, star.known_rows["dim_region"],
+                                star.known_rows["dim_payment"], dedupe=dedupe)
+
+    star = StarSchema({
+        "dim_customer": lambda: dims.build_dim_customer(good),
+        "dim_product": lambda: dims.build_dim_product(good),
+        "dim_date": lambda: dims.build_dim_date(good, sort=sort_dates),
+        "dim_region": region,
+        "dim_payment": payment,
+        "fact_sales": fact,
+    }, bad)
+    return star

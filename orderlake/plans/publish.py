@@ -237,7 +237,8 @@ def load_all(spark: SparkSession, wh: Warehouse, tables: dict[str, DataFrame], r
     if gate is not None:
         failures = gate({n: spark.read.parquet(p) for n, (p, _) in staged.items()},
                         {n: read_fact_table(spark, wh.table_dir(n), n).where(F.col(RUN_COL) == run_id)
-                         for n in fact_rows})
+                         for n in fact_rows},
+                        {n: r for n, (_, r) in staged.items()})
         if failures:
             raise ValueError(f"quality gate failed, nothing published: {failures}")
     _point(spark, wh, [(n, run_id, p, r) for n, (p, r) in staged.items()])
