@@ -23,21 +23,46 @@ def _named(spec) -> tuple[str, Column]:
     return spec
 
 
+BEST = "_best"
+
+
+def ordering_tuple(df: DataFrame, keys: list[str], order: OrderSpec | None = None):
+    """The per-row tuple (order..., other columns...) that "latest" maximises."""
+    order = [_named(o) for o in (order or [])]
+    derived = [(f"_ord{i}", c) for i, (_, c) in enumerate(order)]
+    rest = [c for c in df.columns if c not in keys]
+    return F.struct(*[c.alias(n) for n, c in derived], *[F.col(c) for c in rest]), rest
+
+
+def latest_state(df: DataFrame, keys: list[str], order: OrderSpec | None = None) -> DataFrame:
+    """(keys..., ``_best``): the winning tuple per key.
+
+    ``max`` is associative, so states merge: the state of old rows merged with
+    the state of new rows equals the state of all rows (``merge_states``).
+    """
+    tup, _ = ordering_tuple(df, keys, order)
+    return df.groupBy(*keys).agg(F.max(tup).alias(BEST))
+
+
+def merge_states(states: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Combine states of disjoint row sets into the state of their union."""
+    from functools import reduce
+
+    both = reduce(DataFrame.unionByName, [s.select(*keys, BEST) for s in states])
+    return both.groupBy(*keys).agg(F.max(BEST).alias(BEST))
+
+
+def unpack_state(state: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """State -> rows with ``columns`` (keys taken from the key columns)."""
+    return state.select(*[F.col(c) if c in keys else F.col(f"{BEST}.{c}").alias(c) for c in columns])
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: OrderSpec | None = None) -> DataFrame:
     """One row per ``keys``: the one with the greatest (order..., other columns...).
 
     NULLs order lowest.  Output columns and order are those of ``df``.
     """
-    order = [_named(o) for o in (order or [])]
-    derived = [(f"_ord{i}", c) for i, (_, c) in enumerate(order)]
-    rest = [c for c in df.columns if c not in keys]
-    tuple_fields = [c.alias(n) for n, c in derived] + [F.col(c) for c in rest]
-    best = F.max(F.struct(*tuple_fields)).alias("_best")
-    return (
-        df.groupBy(*keys).agg(best)
-        .select(*[F.col(k) for k in keys], *[F.col(f"_best.{c}").alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    return unpack_state(latest_state(df, keys, order), keys, df.columns)
 
 
 def distinct_values(df: DataFrame, cols: list[str], drop_nulls: bool = True) -> DataFrame:

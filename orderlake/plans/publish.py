@@ -153,12 +153,19 @@ def open_table(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame:
     return spark.read.parquet(versions[name][1]).select(*cols)
 
 
+def read_current_snapshot(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame | None:
+    """The published dimension snapshot with its hidden state columns (None before the first publish)."""
+    v = current_versions(spark, wh).get(name)
+    return None if v is None else spark.read.parquet(v[1])
+
+
 # --------------------------------------------------------------------- dimensions
 
 def stage_dimension(wh: Warehouse, name: str, df: DataFrame, run_id: str) -> tuple[str, int]:
     """X3 part 1: write this run's snapshot (idempotent: same run -> same folder)."""
     path = wh.snapshot_path(name, run_id)
-    return path, write_table(df.select(*GOLD_TABLES[name].column_names), path)
+    hidden = [c for c in df.columns if c.startswith("_")]  # merge state kept beside the declared columns
+    return path, write_table(df.select(*GOLD_TABLES[name].column_names, *hidden), path)
 
 
 def load_dimension(spark: SparkSession, wh: Warehouse, name: str, df: DataFrame, run_id: str) -> int:

@@ -103,3 +103,17 @@ def test_reports_independent_of_aqe(spark, aqe):
     test_reports_independent_of_aqe.seen = getattr(test_reports_independent_of_aqe, "seen", []) + [got]
     if len(test_reports_independent_of_aqe.seen) == 2:
         assert test_reports_independent_of_aqe.seen[0] == test_reports_independent_of_aqe.seen[1]
+
+
+def test_slices_keep_rows_sharing_the_boundary_key(spark):
+    from orderlake.operators.slicing import produce_batch
+
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("b", 3), ("c", 1)], "k string, v int")
+    control = scratch_path(spark, "slice-control")
+    sent = []
+    for run in range(4):
+        n = produce_batch(spark, df, "k", 2, control, "src", f"r{run}", lambda b: sent.extend(b.collect()))
+        if n == 0:
+            break
+    assert sorted(tuple(r) for r in sent) == sorted(tuple(r) for r in df.collect())
+    assert produce_batch(spark, df, "k", 2, control, "src", "r0", lambda b: None) == 4  # retried run
