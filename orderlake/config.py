@@ -42,6 +42,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/orderlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _fs_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table of our own (shared file system, recursive)."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared root and read it back.
 
@@ -51,4 +67,6 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._orderlake_path = path  # lets a caller drop it once it is no longer read
+    return out

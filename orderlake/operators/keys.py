@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlake.config import materialize
+from orderlake.config import drop_path, materialize, path_exists
 from orderlake.operators.dedupe import distinct_values
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
@@ -44,7 +44,9 @@ def dense_rank_distinct(keys: DataFrame, key_col: str, id_col: str, base: int =
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
     numbered = tagged.join(F.broadcast(offsets), "_part").select(
         key_col, (F.lit(base) + F.col("_off") + F.col("_pos")).cast("long").alias(id_col))
-    return materialize(numbered, "keys-numbered")
+    result = materialize(numbered, "keys-numbered")
+    drop_path(ordered.sparkSession, ordered._orderlake_path)  # the sorted keys are no longer read
+    return result
 
 
 def extend_key_map(key_map: DataFrame | None, keys: DataFrame, key_col: str, id_col: str) -> DataFrame:
@@ -59,10 +61,7 @@ def extend_key_map(key_map: DataFrame | None, keys: DataFrame, key_col: str, id_
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    return path_exists(spark, path)
 
 
 def read_key_map(spark: SparkSession, path: str) -> DataFrame | None:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from orderlake.functions.names import qualified_name
 from orderlake.operators.keys import _exists
 from orderlake.schemas import DIMENSIONS, FACTS, GOLD_TABLES
 
@@ -109,7 +110,7 @@ def _point(spark: SparkSession, wh: Warehouse, entries: list[tuple[str, str, str
     if new:
         spark.createDataFrame(new, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(wh.manifest)
     for t, _, p, _ in entries:
-        qualified = f"{wh.database}.{t}" if wh.database else None
+        qualified = qualified_name(t, wh.database) if wh.database else None
         if qualified and t not in FACTS and table_exists(spark, qualified):
             # X3 swap: the declared table now reads the new snapshot.
             run_statement(spark, f"ALTER TABLE {qualified} SET LOCATION '{p}'")
