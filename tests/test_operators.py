@@ -117,3 +117,11 @@ def test_slices_keep_rows_sharing_the_boundary_key(spark):
             break
     assert sorted(tuple(r) for r in sent) == sorted(tuple(r) for r in df.collect())
     assert produce_batch(spark, df, "k", 2, control, "src", "r0", lambda b: None) == 4  # retried run
+
+
+def test_orphans_ignore_null_references(spark):
+    from orderlake.operators.joins import orphans
+
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "z")], "id int, fk string")
+    dim = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
+    assert [r[0] for r in orphans(fact, "fk", dim, "k").collect()] == [4]

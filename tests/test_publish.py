@@ -50,6 +50,8 @@ def test_dimension_swap_and_declared_table(spark, star):
     load_dimension(spark, wh, "dim_region", region, "r2")
     assert _rows(spark.table("orderlake_test.dim_region")) == _rows(region)
     assert current_versions(spark, wh)["dim_region"][0] == "r2"
+    info = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED orderlake_test.dim_region").collect()}
+    assert info["Comment"] == "regions"
     spark.catalog.setCurrentDatabase("default")
 
 
