@@ -137,7 +137,7 @@ def q_stream_ingest_dedup(spark, sf_dir):
     for s in (0, 1, 2, 0):
         publish_events(sales.where(F.col("_slice") == s).drop("_slice"), log)
     paths = _paths(root)
-    ingest(spark, log, paths, max_per_trigger=4)
+    ingest(spark, log, paths, max_per_trigger=8)
     return read_bronze(spark, paths.bronze)
 
 

@@ -116,3 +116,15 @@ def test_incremental_runs_equal_full_rebuild(spark):
     full = star_schema(sales)
     for name in GOLD_TABLES:
         assert _rows(open_table(spark, cfg.warehouse, name)) == _rows(full[name].select(*GOLD_TABLES[name].column_names)), name
+
+
+def test_daily_run_quarantines_rows_unfit_for_gold(spark):
+    root = scratch_path(spark, "daily-bad")
+    sales = sales_projection(spark, SF_SMALL).limit(50)
+    bad = sales.limit(3).withColumn("order_date", F.lit("2024/01/15")).withColumn(
+        "order_id", F.concat("order_id", F.lit("-bad")))
+    cfg = RunConfig(EventLog("files", path=f"{root}/log"), f"{root}/lake", Warehouse(f"{root}/wh"))
+    daily_run(spark, cfg, "d1", source=sales.unionByName(bad))
+    q = spark.read.parquet(cfg.gold_quarantine)
+    assert q.count() == 3 and {r[0] for r in q.select("reject_reason").collect()} == {"bad order_date"}
+    assert open_table(spark, cfg.warehouse, "fact_sales").count() == sales.count()
