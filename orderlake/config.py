@@ -58,15 +58,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def materialize(df, name: str):
-    """Write ``df`` as Parquet under the shared root and read it back.
+def materialize_at(df, name: str):
+    """Write ``df`` as Parquet under the shared root; return (re-read frame, path).
 
     Cuts lineage (a lost executor recomputes from files, not from the whole
-    upstream plan) and lets every later reader prune columns.
+    upstream plan) and lets every later reader prune columns.  The path lets
+    the caller drop the files once nothing reads them.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    out = spark.read.parquet(path)
-    out._orderlake_path = path  # lets a caller drop it once it is no longer read
-    return out
+    return spark.read.parquet(path), path
+
+
+def materialize(df, name: str):
+    """``materialize_at`` without the path."""
+    return materialize_at(df, name)[0]

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlake.config import drop_path, materialize, path_exists
+from orderlake.config import drop_path, materialize, materialize_at, path_exists
 from orderlake.operators.dedupe import distinct_values
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
@@ -31,7 +31,7 @@ _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 def dense_rank_distinct(keys: DataFrame, key_col: str, id_col: str, base: int = 0) -> DataFrame:
     """Number distinct non-NULL ``key_col`` values ``base, base+1, ...`` in key order."""
-    ordered = materialize(
+    ordered, sorted_path = materialize_at(
         distinct_values(keys, [key_col])
         .orderBy(key_col)
         .withColumn("_mid", F.monotonically_increasing_id()), "keys-sorted")
@@ -45,7 +45,7 @@ def dense_rank_distinct(keys: DataFrame, key_col: str, id_col: str, base: int =
     numbered = tagged.join(F.broadcast(offsets), "_part").select(
         key_col, (F.lit(base) + F.col("_off") + F.col("_pos")).cast("long").alias(id_col))
     result = materialize(numbered, "keys-numbered")
-    drop_path(ordered.sparkSession, ordered._orderlake_path)  # the sorted keys are no longer read
+    drop_path(ordered.sparkSession, sorted_path)  # the sorted keys are no longer read
     return result
 
 
