@@ -58,7 +58,9 @@ def q_revenue_by_region(spark, sf_dir):
 
 def q_revenue_by_category_quarter(spark, sf_dir):
     g = _gold(spark, sf_dir)
-    return reports.revenue_by_category_quarter(g["fact_sales"], g["dim_product"], g["dim_date"])
+    dim_product, dim_date = g.materialized("dim_product"), g.materialized("dim_date")
+    return reports.revenue_by_category_quarter(g["fact_sales"], dim_product, dim_date,
+                                               g.known_rows["dim_product"], g.known_rows["dim_date"])
 
 
 def q_return_rate_by_payment(spark, sf_dir):

@@ -45,7 +45,7 @@ def revenue_by_region(fact: DataFrame, dim_region: DataFrame) -> DataFrame:
 
 
 def revenue_by_category_quarter(fact: DataFrame, dim_product: DataFrame, dim_date: DataFrame,
-                                product_rows: int | None = None) -> DataFrame:
+                                product_rows: int | None = None, date_rows: int | None = None) -> DataFrame:
     """Q3: per category, year, quarter: orders and revenue.
 
     dim_date is bounded by the number of calendar days and always broadcast.
@@ -53,7 +53,7 @@ def revenue_by_category_quarter(fact: DataFrame, dim_product: DataFrame, dim_dat
     is first reduced to (product, year, quarter) partials and only those meet
     dim_product in a shuffle join.
     """
-    dates = maybe_broadcast(dim_date.select("date_key", "year", "quarter"))
+    dates = maybe_broadcast(dim_date.select("date_key", "year", "quarter"), known_rows=date_rows)
     dated = fact.join(dates, "date_key")
     products = dim_product.select("product_id", "category")
     small = product_rows is not None and product_rows <= BROADCAST_MAX_ROWS

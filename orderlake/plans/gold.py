@@ -50,6 +50,19 @@ class StarSchema:
     def tables(self) -> dict[str, DataFrame]:
         return {n: self[n] for n in self._builders}
 
+    def materialized(self, name: str) -> DataFrame:
+        """The table written once to the shared folder; its row count becomes known
+        (observed by the write), which is what proves a broadcast small."""
+        if name not in self.known_rows:
+            from orderlake.config import scratch_path
+            from orderlake.plans.publish import write_table
+
+            df = self[name]
+            path = scratch_path(df.sparkSession, name)
+            self.known_rows[name] = write_table(df, path)
+            self._built[name] = df.sparkSession.read.parquet(path)
+        return self._built[name]
+
 
 def star_schema(bronze: DataFrame, validate: bool = True, sort_dates: bool = False,
                 key_maps: dict[str, str] | None = None, fact_input: DataFrame | None = None,
