@@ -1,9 +1,9 @@
 """spark-submit entry point: one daily run, the DDL, or a report.
 
-    spark-submit -m orderlake.cli run --source-csv s3://.../sales/ --log s3://.../events/ \\
+    spark-submit --py-files orderlake.zip orderlake/cli.py run --source-csv s3://.../sales/ --log s3://.../events/ \\
         --lake s3://.../lake --warehouse s3://.../gold --run-id 2026-12-03
-    spark-submit -m orderlake.cli declare --database sales_dwh --warehouse s3://.../gold
-    spark-submit -m orderlake.cli report revenue_by_region --warehouse s3://.../gold
+    spark-submit --py-files orderlake.zip orderlake/cli.py declare --database sales_dwh --warehouse s3://.../gold
+    spark-submit --py-files orderlake.zip orderlake/cli.py report revenue_by_region --warehouse s3://.../gold
 
 The session (master, executors, spark.checkpoint.dir) comes from spark-submit;
 a scheduler calls ``run`` once per period with a run id and may retry it freely.
