@@ -14,7 +14,9 @@ numbered the way ``zipWithIndex`` does it, in DataFrame form:
    result's row count is known from file metadata.
 
 The result equals ``row_number() over (order by key) - 1 + base`` but no step
-holds more than one partition.  A persisted key map makes ids stable across
+holds more than one partition.  When the materialised set of new keys is
+proven small (at most ``SINGLE_TASK_KEYS`` rows, e.g. regions or payment
+methods), that window itself is used: one task over a bounded set.  A persisted key map makes ids stable across
 runs: only keys not yet in the map are numbered, after the map's current max.
 """
 
@@ -29,12 +31,31 @@ from orderlake.operators.dedupe import distinct_values
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 
-def dense_rank_distinct(keys: DataFrame, key_col: str, id_col: str, base: int = 0) -> DataFrame:
+# Up to this many new keys are numbered by one task (proven by the count of
+# the materialised distinct set); beyond it the distributed path runs.
+SINGLE_TASK_KEYS = 100_000
+
+
+def dense_rank_distinct(keys: DataFrame, key_col: str, id_col: str, base: int = 0,
+                        single_task_limit: int = SINGLE_TASK_KEYS) -> DataFrame:
     """Number distinct non-NULL ``key_col`` values ``base, base+1, ...`` in key order."""
+    distinct, distinct_path = materialize_at(distinct_values(keys, [key_col]), "keys-distinct")
+    n = distinct.count()  # from the files just written
+    if n <= single_task_limit:
+        # A proven-small set: one ordered window over at most SINGLE_TASK_KEYS rows.
+        numbered = distinct.select(
+            key_col, (F.lit(base) - 1 + F.row_number().over(Window.orderBy(key_col))).cast("long").alias(id_col))
+        result = materialize(numbered, "keys-numbered")
+        drop_path(keys.sparkSession, distinct_path)
+        return result
+    result = _zip_with_index(distinct, key_col, id_col, base)
+    drop_path(keys.sparkSession, distinct_path)
+    return result
+
+
+def _zip_with_index(distinct: DataFrame, key_col: str, id_col: str, base: int) -> DataFrame:
     ordered, sorted_path = materialize_at(
-        distinct_values(keys, [key_col])
-        .orderBy(key_col)
-        .withColumn("_mid", F.monotonically_increasing_id()), "keys-sorted")
+        distinct.orderBy(key_col).withColumn("_mid", F.monotonically_increasing_id()), "keys-sorted")
     part = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     tagged = ordered.select(key_col, part.alias("_part"), pos.alias("_pos"))

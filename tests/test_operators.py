@@ -41,10 +41,11 @@ def test_latest_per_key_picks_latest_with_full_tie_break(spark):
     assert out == {"c1": 29, "c2": 41}  # same date -> larger order_id wins; NULL date loses
 
 
-def test_dense_keys_equal_global_row_number(spark):
+@pytest.mark.parametrize("single_task_limit", [0, 100_000])  # distributed path / bounded fast path
+def test_dense_keys_equal_global_row_number(spark, single_task_limit):
     keys = spark.range(0, 2000).select(F.format_string("k%05d", (F.col("id") * 7919) % 2000).alias("k"))
     keys = keys.repartition(9)
-    got = dense_rank_distinct(keys.union(keys), "k", "kid", base=10)
+    got = dense_rank_distinct(keys.union(keys), "k", "kid", base=10, single_task_limit=single_task_limit)
     want = keys.distinct().select("k", (F.row_number().over(Window.orderBy("k")) - 1 + 10).alias("kid"))
     assert _rows(got) == _rows(want)
 
