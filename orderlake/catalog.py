@@ -9,12 +9,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlake.config import materialize
-from orderlake.operators import reports
+from orderlake.config import materialize, scratch_path
+from orderlake.functions.codec import decode_events
+from orderlake.operators import quality, reports
 from orderlake.operators.dedupe import latest_per_key
+from orderlake.operators.keys import update_key_map
+from orderlake.operators.slicing import positional_slice, produce_batch
+from orderlake.plans.daily_run import RunConfig, daily_run
 from orderlake.plans.gold import star_schema
+from orderlake.plans.publish import Warehouse, load_all, load_dimension, load_fact, open_table, write_table
+from orderlake.schemas import GOLD_TABLES, SALES_COLUMNS
+from orderlake.sources.csv import read_sales_csv, write_sales_csv
+from orderlake.sources.eventlog import EventLog, peek_events, publish_events, read_events
+from orderlake.sources.faults import damage_events, order_key
 from orderlake.sources.tables import read_table, sales_projection
+from orderlake.streaming.ingest import IngestPaths, ingest, read_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,15 +101,6 @@ def _core() -> dict[str, Query]:
 
 
 # ---------------------------------------------------------------- sources & streams
-from orderlake.config import scratch_path  # noqa: E402
-from orderlake.functions.codec import decode_events  # noqa: E402
-from orderlake.operators.slicing import positional_slice, produce_batch  # noqa: E402
-from orderlake.schemas import SALES_COLUMNS  # noqa: E402
-from orderlake.sources.csv import read_sales_csv, write_sales_csv  # noqa: E402
-from orderlake.sources.eventlog import EventLog, peek_events, publish_events, read_events  # noqa: E402
-from orderlake.sources.faults import damage_events  # noqa: E402
-from orderlake.streaming.ingest import IngestPaths, ingest, read_bronze  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 # Producer slice size for the resume query (the reference sends 500 per run;
 # a larger slice keeps the number of simulated runs small, not the data).
@@ -182,12 +184,6 @@ STREAM_QUERIES = {
 
 
 # ---------------------------------------------------------------- gold, quality, publish
-from orderlake.operators import quality  # noqa: E402
-from orderlake.operators.keys import update_key_map  # noqa: E402
-from orderlake.plans.daily_run import RunConfig, daily_run  # noqa: E402
-from orderlake.plans.publish import Warehouse, load_all, load_dimension, load_fact, open_table, write_table  # noqa: E402
-from orderlake.schemas import GOLD_TABLES  # noqa: E402
-from orderlake.sources.faults import order_key  # noqa: E402
 
 # Planted-fault rules for the quality checks (modulus on the order key).
 NULL_REGION_EVERY = 10
