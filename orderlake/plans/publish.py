@@ -82,11 +82,35 @@ def manifest(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return spark.read.parquet(wh.manifest)
 
 
+def manifest_entries(spark: SparkSession, wh: Warehouse) -> list[tuple]:
+    """All pointer rows (tbl, run_id, path, rows, seq).
+
+    Metadata, not data: one row per table per publishing run, read once per
+    publish and resolved on the driver.
+    """
+    return [tuple(r) for r in manifest(spark, wh).collect()]
+
+
+def _current(entries: list[tuple]) -> dict[str, tuple[str, str, int]]:
+    best: dict[str, tuple] = {}
+    for tbl, run_id, path, rows, seq in entries:
+        if tbl not in best or seq > best[tbl][3]:
+            best[tbl] = (run_id, path, rows, seq)
+    return {t: v[:3] for t, v in best.items()}
+
+
+def _runs(entries: list[tuple], name: str) -> list[str]:
+    return sorted({run_id for tbl, run_id, *_ in entries if tbl == name})
+
+
 def current_versions(spark: SparkSession, wh: Warehouse) -> dict[str, tuple[str, str, int]]:
-    """tbl -> (run_id, path, rows) of the published version (one row per table)."""
-    latest = manifest(spark, wh).groupBy("tbl").agg(
-        F.max_by(F.struct("run_id", "path", "rows"), "seq").alias("v"))
-    return {r["tbl"]: (r["v"]["run_id"], r["v"]["path"], r["v"]["rows"]) for r in latest.collect()}
+    """tbl -> (run_id, path, rows) of the published version."""
+    return _current(manifest_entries(spark, wh))
+
+
+def published_runs(spark: SparkSession, wh: Warehouse, name: str) -> list[str]:
+    """Runs of a fact table that passed publishing (bounded by the number of runs)."""
+    return _runs(manifest_entries(spark, wh), name)
 
 
 def _point(spark: SparkSession, wh: Warehouse, entries: list[tuple[str, str, str, int]]) -> None:
@@ -95,20 +119,19 @@ def _point(spark: SparkSession, wh: Warehouse, entries: list[tuple[str, str, str
     A dimension entry is new unless it is already the current version; a fact
     entry (one per run) is new unless that run is already published.
     """
-    m = manifest(spark, wh)
-    current = current_versions(spark, wh)
-    fact_runs = {(r["tbl"], r["run_id"]) for r in
-                 m.where(F.col("tbl").isin(FACTS)).select("tbl", "run_id").distinct().collect()}
-    seq0 = m.agg(F.max("seq")).first()[0] or 0
+    known = manifest_entries(spark, wh)
+    current = _current(known)
+    seq0 = max((e[4] for e in known), default=0)
 
     def is_new(e):
         if e[0] in FACTS:
-            return (e[0], e[1]) not in fact_runs
+            return e[1] not in _runs(known, e[0])
         return current.get(e[0], (None, None))[:2] != (e[1], e[2])
 
     new = [(t, r, p, n, seq0 + i + 1) for i, (t, r, p, n) in enumerate(e for e in entries if is_new(e))]
     if new:
         spark.createDataFrame(new, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(wh.manifest)
+    known += new
     for t, _, p, _ in entries:
         qualified = qualified_name(t, wh.database) if wh.database else None
         if qualified and t not in FACTS and table_exists(spark, qualified):
@@ -116,13 +139,7 @@ def _point(spark: SparkSession, wh: Warehouse, entries: list[tuple[str, str, str
             run_statement(spark, f"ALTER TABLE {qualified} SET LOCATION '{p}'")
             run_statement(spark, f"REFRESH TABLE {qualified}")
         else:
-            register_view(spark, t, wh)
-
-
-def published_runs(spark: SparkSession, wh: Warehouse, name: str) -> list[str]:
-    """Runs of a fact table that passed publishing (bounded by the number of runs)."""
-    rows = manifest(spark, wh).where(F.col("tbl") == name).select("run_id").distinct().collect()
-    return sorted(r[0] for r in rows)
+            open_table(spark, wh, t, known).createOrReplaceTempView(t)
 
 
 def register_view(spark: SparkSession, name: str, wh: Warehouse) -> None:
@@ -140,15 +157,16 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def open_table(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame:
+def open_table(spark: SparkSession, wh: Warehouse, name: str, entries: list[tuple] | None = None) -> DataFrame:
     """The published version of a gold table."""
+    entries = manifest_entries(spark, wh) if entries is None else entries
     cols = GOLD_TABLES[name].column_names
     if name in FACTS:
-        runs = published_runs(spark, wh, name)
+        runs = _runs(entries, name)
         if not runs:
             raise KeyError(f"{name} has not been published under {wh.root}")
         return read_fact_table(spark, wh.table_dir(name), name).where(F.col(RUN_COL).isin(runs)).select(*cols)
-    versions = current_versions(spark, wh)
+    versions = _current(entries)
     if name not in versions:
         raise KeyError(f"{name} has not been published under {wh.root}")
     return spark.read.parquet(versions[name][1]).select(*cols)
@@ -234,10 +252,11 @@ def load_all(spark: SparkSession, wh: Warehouse, tables: dict[str, DataFrame], r
         else:
             staged[n] = stage_dimension(wh, n, tables[n], run_id)
     fact_rows = {}
+    known = manifest_entries(spark, wh)
     for n in (t for t in tables if t not in staged):
-        if run_id in published_runs(spark, wh, n):
-            fact_rows[n] = manifest(spark, wh).where((F.col("tbl") == n) & (F.col("run_id") == run_id)) \
-                .agg(F.max("rows")).first()[0]
+        done = [e[3] for e in known if e[0] == n and e[1] == run_id]
+        if done:  # a repeated run: its partition is already published
+            fact_rows[n] = done[0]
         else:
             fact_rows[n] = load_fact_staged(wh, tables[n], run_id, n)
     if gate is not None:
