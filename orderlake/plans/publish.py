@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from orderlake.config import drop_path, materialize_at
 from orderlake.functions.names import qualified_name
 from orderlake.operators.keys import _exists
 from orderlake.schemas import DIMENSIONS, FACTS, GOLD_TABLES
@@ -228,10 +229,12 @@ def _drop_superseded(spark: SparkSession, table: str, run_id: str) -> None:
     runs = [r[0] for r in hit.collect()]
     if not runs:
         return
-    keep = (older.where(F.col(RUN_COL).isin(runs)).join(mine, "order_id", "left_anti")
-            .checkpoint(eager=True))  # cut lineage: we are about to overwrite our own input
+    # Written aside first: we are about to overwrite the partitions we read from.
+    keep, keep_path = materialize_at(
+        older.where(F.col(RUN_COL).isin(runs)).join(mine, "order_id", "left_anti"), "superseded-keep")
     (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(RUN_COL).parquet(table))
+    drop_path(spark, keep_path)
 
 
 # --------------------------------------------------------------------- all
