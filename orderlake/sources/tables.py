@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.operators.joins import maybe_broadcast
 from orderlake.schemas import SALES_COLUMNS
 
 MONEY = "decimal(12,2)"
+GEO_MAX_ROWS = 100_000
 RATE = "decimal(4,2)"
 
 
@@ -25,8 +27,7 @@ def sales_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lineitem/orders/customer/part grow with the scale factor and are joined by
     shuffle (AQE may still pick broadcast at runtime from measured sizes);
-    nation and region are fixed-size tables and fall under the optimizer's
-    size-based broadcast threshold from file statistics.
+    nation joined to region is broadcast behind a row-count check.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -39,10 +40,15 @@ def sales_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
+    # Nations are few (25): a shuffle join on c_nationkey would put each nation's
+    # customers in one task, so the nation side is broadcast once its size is proven.
+    geo = maybe_broadcast(geo, max_rows=GEO_MAX_ROWS)
     cust_region = cust.join(geo, cust.c_nationkey == geo.n_nationkey).select("c_custkey", "r_name")
+    # Orders meet their customer first (an orders-sized shuffle on custkey), so
+    # lineitem is shuffled only for its own two joins: on orderkey, then partkey.
+    order_region = orders.join(cust_region, orders.o_custkey == cust_region.c_custkey)
     joined = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
+        li.join(order_region, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )
     ext = F.col("l_extendedprice").cast(MONEY)
