@@ -1,0 +1,66 @@
+"""Plan-shape regression tests: the scale properties of the main operators."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from orderlake.config import materialize, scratch_path
+from orderlake.operators.dedupe import latest_per_key
+from orderlake.operators.reports import revenue_by_region
+from orderlake.plans.gold import star_schema
+from orderlake.plans.publish import Warehouse, load_fact, open_table
+from orderlake.sources.tables import sales_projection
+from tests.conftest import SF_SMALL
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_build_shuffles_once_and_broadcasts_the_lookups(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # inspect the static plan
+    try:
+        star = star_schema(materialize(sales_projection(spark, SF_SMALL), "bronze"))
+        plan = _plan(star["fact_sales"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id", plan)) == 1
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert "partial_max" in plan  # latest-per-order combines map-side
+
+
+def test_latest_per_key_aggregates_partially(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(latest_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "partial_max" in plan and "Window" not in plan
+
+
+def test_nation_side_broadcast_without_statistics(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(sales_projection(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert re.search(r"BroadcastHashJoin \[c_nationkey", plan)
+    assert not re.search(r"Exchange hashpartitioning\(c_nationkey", plan)
+
+
+def test_report_over_published_fact_reads_only_needed_columns(spark):
+    star = star_schema(sales_projection(spark, SF_SMALL))
+    wh = Warehouse(scratch_path(spark, "wh-plan"))
+    load_fact(spark, wh, star["fact_sales"], "r1")
+    report = revenue_by_region(open_table(spark, wh, "fact_sales"), star["dim_region"])
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", _formatted(report))
+    fact_schema = [s for s in schemas if "total_amount" in s][0]
+    assert set(re.findall(r"(\w+):", fact_schema)) == {"order_id", "region_id", "total_amount", "profit_margin"}
+
+
+def _formatted(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
