@@ -128,3 +128,33 @@ def test_daily_run_quarantines_rows_unfit_for_gold(spark):
     q = spark.read.parquet(cfg.gold_quarantine)
     assert q.count() == 3 and {r[0] for r in q.select("reject_reason").collect()} == {"bad order_date"}
     assert open_table(spark, cfg.warehouse, "fact_sales").count() == sales.count()
+
+
+def test_crash_between_write_and_publish_then_rerun_converges(spark, monkeypatch):
+    import orderlake.plans.publish as pub
+
+    root = scratch_path(spark, "crash-test")
+    write_sales_csv(sales_projection(spark, SF_SMALL), f"{root}/csv")
+    source = read_sales_csv(spark, f"{root}/csv")
+    cfg = RunConfig(EventLog("files", path=f"{root}/log"), f"{root}/lake", Warehouse(f"{root}/wh"),
+                    slice_rows=3000)
+    daily_run(spark, cfg, "d1", source=source)
+    before = open_table(spark, cfg.warehouse, "fact_sales").count()
+    real_point = pub._point
+    calls = {"n": 0}
+
+    def crash_on_fact(spark_, wh, entries):
+        if any(e[0] == "fact_sales" for e in entries):
+            calls["n"] += 1
+            raise RuntimeError("executor lost")  # dims re-pointed, fact written but not published
+        return real_point(spark_, wh, entries)
+
+    monkeypatch.setattr(pub, "_point", crash_on_fact)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        daily_run(spark, cfg, "d2", source=source)
+    monkeypatch.setattr(pub, "_point", real_point)
+    assert open_table(spark, cfg.warehouse, "fact_sales").count() == before  # d2's fact not visible yet
+    daily_run(spark, cfg, "d2", source=source)  # the retry converges
+    fact = open_table(spark, cfg.warehouse, "fact_sales")
+    assert fact.count() == fact.select("order_id").distinct().count() == 5999
+    assert calls["n"] == 1
