@@ -126,3 +126,17 @@ def test_orphans_ignore_null_references(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "z")], "id int, fk string")
     dim = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
     assert [r[0] for r in orphans(fact, "fk", dim, "k").collect()] == [4]
+
+
+def test_whole_source_runs_send_each_run_once(spark):
+    from orderlake.operators.slicing import produce_batch
+
+    control = scratch_path(spark, "all-control")
+    day1 = spark.createDataFrame([("b",), ("z",)], "k string")
+    day2 = spark.createDataFrame([("a",)], "k string")  # smaller key than day 1: still sent
+    sent = []
+    sink = lambda b: sent.extend(r[0] for r in b.collect())
+    assert produce_batch(spark, day1, "k", None, control, "src", "r1", sink) == 2
+    assert produce_batch(spark, day1, "k", None, control, "src", "r1", sink) == 2  # retry: nothing resent
+    assert produce_batch(spark, day2, "k", None, control, "src", "r2", sink) == 1
+    assert sorted(sent) == ["a", "b", "z"]
