@@ -64,3 +64,16 @@ def test_report_over_published_fact_reads_only_needed_columns(spark):
 def _formatted(df) -> str:
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_run_reads_only_its_bronze_batches(spark):
+    from orderlake.streaming.ingest import BATCH_COL, read_bronze
+
+    path = scratch_path(spark, "bronze-plan")
+    rows = sales_projection(spark, SF_SMALL).limit(30)
+    (rows.withColumn(BATCH_COL, (F.monotonically_increasing_id() % 3).cast("long"))
+     .write.partitionBy(BATCH_COL).parquet(path))
+    new = read_bronze(spark, path, with_batch=True).where((F.col(BATCH_COL) > 0) & (F.col(BATCH_COL) <= 1))
+    plan = _formatted(new)
+    assert re.search(r"PartitionFilters: \[.*ingest_batch.*\]", plan)
+    assert {r[0] for r in new.select(BATCH_COL).distinct().collect()} == {1}
