@@ -1,8 +1,11 @@
 """The gold star schema (M7): validate bronze, build five dimensions and the fact.
 
-``star_schema`` returns lazy frames (the key-numbered dimensions are already
-checkpointed, so their row counts are cheap and proven).  ``write_gold`` (in
-``orderlake.plans.publish``) materialises them with one job per table.
+``star_schema`` builds each table on first access.  The key-numbered
+dimensions are written to the shared folder by their numbering, so their row
+counts come from file metadata and prove the fact's broadcast lookups small.
+``orderlake.plans.publish.load_all`` (or ``write_table``) writes them, one job
+per table with the row count observed by the write.  The daily, incremental
+variant is ``orderlake.plans.daily_run.incremental_gold``.
 """
 
 from __future__ import annotations
