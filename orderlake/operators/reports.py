@@ -1,9 +1,11 @@
 """The four published reports (Q1-Q4).
 
-Each report aggregates the fact on its foreign key *before* joining the
-dimension (partial aggregation, then a join of small tables), so the fact is
-never shuffled to meet a dimension.  Sums are exact (DECIMAL), cast to DOUBLE
-once; every ORDER BY ends in a unique column.
+The fact is never shuffled to meet a dimension.  Q2 and Q4 aggregate it on
+its foreign key first (partial aggregation, then a join of small tables).  Q3
+joins its dimensions map-side when their sizes are proven small (broadcast);
+otherwise it reduces the fact to (product, year, quarter) partials before the
+product join.  Sums are exact (DECIMAL), cast to DOUBLE once; every ORDER BY
+ends in a unique column.
 """
 
 from __future__ import annotations
