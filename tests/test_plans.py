@@ -77,3 +77,22 @@ def test_run_reads_only_its_bronze_batches(spark):
     plan = _formatted(new)
     assert re.search(r"PartitionFilters: \[.*ingest_batch.*\]", plan)
     assert {r[0] for r in new.select(BATCH_COL).distinct().collect()} == {1}
+
+
+def test_reports_never_shuffle_the_fact_to_meet_a_dimension(spark):
+    from orderlake.operators.reports import return_rate_by_payment, revenue_by_category_quarter
+
+    star = star_schema(materialize(sales_projection(spark, SF_SMALL), "bronze"))
+    product, date = star.materialized("dim_product"), star.materialized("dim_date")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        q3 = _plan(revenue_by_category_quarter(star["fact_sales"], product, date,
+                                               star.known_rows["dim_product"], star.known_rows["dim_date"]))
+        q4 = _plan(return_rate_by_payment(star["fact_sales"], star["dim_payment"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Q3: both dimensions proven small -> broadcast; no exchange on the join keys.
+    assert not re.search(r"Exchange hashpartitioning\((product_id|date_key)", q3)
+    assert q3.count("BroadcastHashJoin") >= 4  # 2 fact lookups + date + product
+    # Q4: the fact is aggregated on payment_id before it meets dim_payment.
+    assert re.search(r"HashAggregate\(keys=\[payment_id", q4)
