@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontamination, mixing, sharding, sql
+from orderlake.config import scratch_path
+from orderlake.llm import decontamination, mixing, repetition, sharding, sql, warc
 from orderlake.llm.common import ship_package
 from orderlake.sources.tables import read_table
 
@@ -45,8 +46,22 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (hits > 0).alias("contaminated"))
 
 
+def op5_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", repetition.repetition(F.col("text")).alias("m"))
+    m = F.col("m")
+    return docs.select("doc_id", *[m[f].alias(f) for f in repetition.FIELDS if f != "longest_repeat"],
+                       repetition.base_failed(m).alias("base_failed"),
+                       (~repetition.base_failed(m) & repetition.passes(m)).alias("kept"))
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    return warc.read_archives(spark, path, payloads=False).drop("url")
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_mix_sources, op3_kd_shards, op6_decontaminate)}
+    op1_mix_sources, op3_kd_shards, op5_suffix_repetition, op6_decontaminate, op7_warc_revisits)}
 
 
 def _shipping(query: Query) -> Query:

@@ -64,4 +64,46 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n
 FROM doc_words d LEFT JOIN hit_words h USING (r) LEFT JOIN hit_items t USING (r)
 """
 
-ORACLES = {"op1_mix_sources": OP1, "op6_decontaminate": OP6}
+OP5 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+        FROM d, (SELECT unnest([3, 10, 101]) AS n) WHERE len(ws) >= n)
+), repeated AS (
+  SELECT r, n, i FROM (SELECT *, count(*) OVER (PARTITION BY r, n, w) AS c FROM windows) WHERE c > 1
+), words AS (
+  SELECT r, count(DISTINCT CASE WHEN n = 3 THEN j END) AS n_repeat_words,
+         count(DISTINCT CASE WHEN n = 10 THEN j END) AS covered_words, max(n) AS longest
+  FROM (SELECT r, n, unnest(range(i, i + n)) AS j FROM repeated) GROUP BY r
+), lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), m AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(covered_words, 0)::BIGINT AS covered_words,
+         coalesce(longest, 0) AS longest
+  FROM d LEFT JOIN words USING (r) LEFT JOIN lines USING (r)
+)
+SELECT * EXCLUDE (longest), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND covered_words <= n_words * 0.3::DOUBLE AND longest < 101 AS kept
+FROM m
+"""
+
+OP7 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS original FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < original THEN original END AS refers_to
+FROM g
+"""
+
+ORACLES = {"op1_mix_sources": OP1, "op5_suffix_repetition": OP5, "op6_decontaminate": OP6, "op7_warc_revisits": OP7}
