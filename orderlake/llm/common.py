@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 HELD_OUT_EVERY = 5
 # A key with more than 1/HOT_SHARE of all rows is hot; there can be at most HOT_SHARE such keys.
 HOT_SHARE = 1000
+# Ids that may be broadcast: 16 MB of them.
+MAX_BROADCAST_IDS = 2_000_000
 # Buckets per group of a distributed running sum.
 SCAN_BUCKETS = 4096
 
@@ -84,3 +86,20 @@ def join_hot_apart(rows: DataFrame, side: DataFrame, key: str, count: str, how:
     warm = marked.where(F.col("_hot").isNull()).drop("_hot").join(
         side.where(F.col(count) <= hot_over).drop(count), key, how)
     return warm.unionByName(marked.where("_hot").drop("_hot").join(F.broadcast(hot), key, "inner"))
+
+
+def bounded_semi_join(rows: DataFrame, ids: DataFrame, key: str, id_key: str, wanted: bool = True,
+                      unless: Column | None = None) -> DataFrame:
+    """``rows`` whose ``key`` is (or, with ``wanted`` false, isn't) among ``ids``; rows ``unless`` stay anyway.
+
+    The ids, which should be stored, are broadcast if they are at most MAX_BROADCAST_IDS; more are met
+    in a shuffle join.  A null key is equal to a null id.  The columns of ``rows`` are unchanged.
+    """
+    marks = ids.select(F.col(id_key).alias("_semi_id")).distinct().withColumn("_semi_found", F.lit(True))
+    if ids.count() <= MAX_BROADCAST_IDS:
+        marks = F.broadcast(marks)
+    joined = rows.join(marks, F.col(key).eqNullSafe(F.col("_semi_id")), "left")
+    keep = F.col("_semi_found").isNotNull() if wanted else F.col("_semi_found").isNull()
+    if unless is not None:
+        keep = keep | unless
+    return joined.where(keep).drop("_semi_id", "_semi_found")

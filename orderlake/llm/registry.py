@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.config import scratch_path
-from orderlake.llm import decontamination, mixing, repetition, sharding, sql, warc
+from orderlake.llm import decontamination, jaccard_join, mixing, repetition, sharding, sql, warc
 from orderlake.llm.common import ship_package
 from orderlake.sources.tables import read_table
 
@@ -60,8 +60,13 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path, payloads=False).drop("url")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_mix_sources, op3_kd_shards, op5_suffix_repetition, op6_decontaminate, op7_warc_revisits)}
+    op1_mix_sources, op3_kd_shards, op5_suffix_repetition, op6_decontaminate, op7_warc_revisits,
+    op10_jaccard_join)}
 
 
 def _shipping(query: Query) -> Query:

@@ -106,4 +106,26 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < original THEN
 FROM g
 """
 
-ORACLES = {"op1_mix_sources": OP1, "op5_suffix_repetition": OP5, "op6_decontaminate": OP6, "op7_warc_revisits": OP7}
+OP10 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS ws FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') AS s
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM d WHERE len(ws) > 0)
+), sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM shingles GROUP BY r
+), links AS MATERIALIZED (
+  SELECT a.r AS x, b.r AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r
+  JOIN sizes p ON p.r = a.r JOIN sizes q ON q.r = b.r
+  GROUP BY a.r, b.r, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), reach AS (
+  SELECT r AS x, r AS y FROM d
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT d.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(e.doc_id) AS component_id
+FROM d JOIN reach ON d.r = reach.x JOIN d e ON e.r = reach.y LEFT JOIN sizes ON sizes.r = d.r GROUP BY d.r, d.doc_id
+"""
+
+ORACLES = {"op1_mix_sources": OP1, "op5_suffix_repetition": OP5, "op6_decontaminate": OP6, "op7_warc_revisits": OP7,
+           "op10_jaccard_join": OP10}
