@@ -103,3 +103,15 @@ def bounded_semi_join(rows: DataFrame, ids: DataFrame, key: str, id_key: str, wa
     if unless is not None:
         keep = keep | unless
     return joined.where(keep).drop("_semi_id", "_semi_found")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list[tuple[str, int]]:
+    """At most ``rows`` (text, label) pairs of documents that aren't held out, the same on every run.
+
+    The sample is drawn from the narrow label table; only its documents' texts reach the driver.
+    """
+    drawn = (labels.select("doc_id", F.col(label).cast("int").alias("label"))
+             .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+             .distinct().orderBy(spread(F.col("doc_id")), "doc_id", "label").limit(rows))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    return [(r.text, r.label) for r in texts.orderBy(spread(F.col("doc_id")), "doc_id", "label", "text").collect()]

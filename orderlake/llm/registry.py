@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orderlake.config import scratch_path
-from orderlake.llm import decontamination, jaccard_join, mixing, repetition, sharding, sql, warc
-from orderlake.llm.common import ship_package
+from orderlake.llm import (decontamination, jaccard_join, langid, mixing, quality_mil, repetition, sharding, sql,
+                           toxicity, url_filter, warc)
+from orderlake.llm.common import held_out, ship_package
 from orderlake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +29,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", taken.alias("taken"), "position")
 
 
+def op2_url_lm_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     placed = docs.select("doc_id", sharding.size_of(F.col("text")).alias("size"),
@@ -46,6 +53,18 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (hits > 0).alias("contaminated"))
 
 
+# Scores from which a document counts as label 1.
+GOOD_FROM = 0.3
+TOXIC_FROM = 0.5
+
+
+def op4_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_mil.train(docs, read_table(spark, sf_dir, "labels"))
+    return (docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_mil.score(docs, model).alias("score"))
+            .withColumn("predicted", (F.col("score") >= GOOD_FROM).cast("int")))
+
+
 def op5_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", repetition.repetition(F.col("text")).alias("m"))
     m = F.col("m")
@@ -60,13 +79,27 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path, payloads=False).drop("url")
 
 
+def op8_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = docs.select("doc_id", langid.identify(docs, langid.train(docs)).alias("found"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("found.lang").alias("lang_pred"),
+                        F.col("found.score").alias("score"), F.col("found.rejected").alias("rejected"))
+
+
+def op9_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return (docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.score(docs, model).alias("score"))
+            .withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int")))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_mix_sources, op3_kd_shards, op5_suffix_repetition, op6_decontaminate, op7_warc_revisits,
-    op10_jaccard_join)}
+    op1_mix_sources, op2_url_lm_ratio, op3_kd_shards, op4_quality_mil, op5_suffix_repetition, op6_decontaminate,
+    op7_warc_revisits, op8_language_centroids, op9_toxicity_bigru, op10_jaccard_join)}
 
 
 def _shipping(query: Query) -> Query:
@@ -78,8 +111,9 @@ def _shipping(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _shipping(q) for name, q in QUERIES.items()}
+    return {**{name: _shipping(q) for name, q in QUERIES.items()}, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(sql.ORACLES)
+    pipeline = corpus_pipeline.ORACLE_SQL
+    return {**sql.ORACLES, **({"pipeline": pipeline} if pipeline else {})}
