@@ -1,0 +1,114 @@
+"""The Jaccard join against all pairs, with groups of copies, chains and shared passages."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from orderlake.llm import jaccard_join
+from tests.llm.conftest import DOC_SCHEMA, prose, rows
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    n = min(5, len(words))
+    return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
+def brute(data):
+    sets = [shingles(t) for _, t in data]
+    parent = list(range(len(data)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(data):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return sorted(((d, len(s), least.get(find(i))) for i, ((d, _), s) in enumerate(zip(data, sets))), key=repr)
+
+
+def edited(text, rng, edits):
+    words = text.split(" ")
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"edit{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    texts = [prose(seed * 1000 + i, rng.choice([3, 5, 8, 30, 120])) for i in range(40)]
+    shared = prose(seed + 77, 25)
+    texts += [f"{prose(seed * 991 + i, 60)} {shared} {prose(seed * 7 + i, 10)}" for i in range(25)]
+    texts += [shared] * 3
+    base = prose(seed + 5, 150)
+    texts += [edited(base, rng, rng.choice([0, 1, 2, 3, 5, 9])) for _ in range(60)]
+    chain = prose(seed + 6, 100).split(" ")
+    for k in range(12):  # each links with its neighbours only
+        texts.append(" ".join(chain[6 * k:] + [f"c{j}" for j in range(6 * k)]))
+    texts += [prose(seed + 8, 40)[:rng.randrange(60, 160)] for _ in range(12)]
+    texts += [None, "", " \t", "Alone", "alone"]
+    rng.shuffle(texts)
+    return [(int(i), t) for i, t in zip(np.random.default_rng(seed).permutation(10 * len(texts)), texts)]
+
+
+def found(spark, data):
+    df = spark.createDataFrame(data, "doc_id bigint, text string").repartition(5)
+    return sorted((tuple(r) for r in jaccard_join.near_duplicates(df).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_match_all_pairs(spark, seed):
+    data = corpus(seed)
+    assert found(spark, data) == brute(data)
+
+
+def test_threshold_is_exact(spark):
+    """20 common shingles: 5 more on one side is 80 in 100, 6 more is not."""
+    words = [f"t{i}" for i in range(40)]
+    data = [(1, " ".join(words[:24])), (2, " ".join(words[:29])), (3, "x " + " ".join(words[1:25])),
+            (4, " ".join([f"u{i}" for i in range(24)])), (5, " ".join([f"u{i}" for i in range(30)]))]
+    assert found(spark, data) == brute(data)
+    assert [c for _, _, c in found(spark, data)][:2] == [1, 1] and found(spark, data)[4][2] == 5
+
+
+def test_odd_rows_and_empty_table(odd_docs, odd_rows, no_docs):
+    data = [(r[0], r[1]) for r in odd_rows]
+    got = sorted((tuple(r) for r in jaccard_join.near_duplicates(odd_docs).collect()), key=repr)
+    assert got == brute(data)
+    assert jaccard_join.near_duplicates(no_docs).count() == 0
+    assert jaccard_join.keep_one(no_docs).count() == 0
+
+
+def test_keep_one(clashing):
+    kept = jaccard_join.keep_one(clashing)
+    assert kept.columns == clashing.columns
+    ids = sorted((r.doc_id for r in kept.select("doc_id").collect()), key=repr)
+    # 2 and 3 copy 1, 9 copies 8; rows without id stay.
+    assert ids == sorted([1, 4, 5, 6, None, None, 7, 8, 10, 11, 12], key=repr)
+
+
+def test_keep_one_of_rows_that_share_an_id(spark):
+    text = prose(3, 60)
+    df = spark.createDataFrame([(1, text, "en", "a", 0)] * 3 + [(2, text, "en", "b", 0), (3, None, "en", "a", 0),
+                                                                (3, None, "en", "a", 0)], DOC_SCHEMA)
+    assert [r[0] for r in rows(jaccard_join.keep_one(df).select("doc_id"))] == [1, 3, 3]
+
+
+def test_components_of_long_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(2000, 2001), (2001, 2002)]
+    random.Random(1).shuffle(edges)
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r.node: r.comp for r in jaccard_join.components(df).collect()}
+    assert got == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(1000, 1200), 1000), 2000: 2000, 2001: 2000, 2002: 2000}
+    assert jaccard_join.components(df.limit(0)).count() == 0

@@ -1,0 +1,57 @@
+"""Words and hashes over Arrow buffers against regular expressions."""
+
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from orderlake.llm import textbuf
+
+SPACE = re.compile(r"[^\x20\x09-\x0D]+")
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+TEXT = st.text(alphabet=st.sampled_from("aAbZ09 .\n\t\r\x00|é東"), max_size=30)
+
+
+def ascii_lower(s):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), s)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXT), max_size=6), st.sampled_from([1, 7, 1 << 20]))
+def test_words_and_hashes_match_the_pattern(texts, chunk):
+    for table, pattern in ((textbuf.SPACE_WORDS, SPACE), (textbuf.ALNUM_WORDS, ALNUM)):
+        seen, got = {}, []
+        for _, data, offsets in textbuf.chunks(pa.array(texts, pa.string()), chunk):
+            w = textbuf.words(data, offsets, table)
+            hashes = w.hashes()
+            for a, b in zip(w.first[:-1], w.first[1:]):
+                got.append([ascii_lower(data[w.starts[i]:w.ends[i]].tobytes().decode()) for i in range(a, b)])
+                for word, h in zip(got[-1], hashes[a:b].tolist()):
+                    assert seen.setdefault(word, h) == h
+        assert got == [pattern.findall(ascii_lower(t or "")) for t in texts]
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_sliced_arrays_and_window_hashes():
+    column = pa.array(["x", "a b c", None, "b c"], pa.string()).slice(1)
+    (_, data, offsets), = textbuf.chunks(column)
+    w = textbuf.words(data, offsets)
+    assert w.counts.tolist() == [3, 0, 2]
+    pairs = textbuf.window_hashes(w.hashes(), 2)
+    assert pairs[1] == pairs[3] and pairs[0] != pairs[1]
+    assert w.room().tolist() == [3, 2, 1, 2, 1]
+    assert len(textbuf.window_hashes(np.zeros(1, np.uint64), 2)) == 0
+
+
+def test_words_that_differ_only_in_order_or_length_differ():
+    words = ["ab", "ba", "aab", "aba", "baa", "aabb", "abab", "abba", "a" * 63, "a" * 64, "a" * 65]
+    (_, data, offsets), = textbuf.chunks(pa.array(words))
+    assert len(set(textbuf.words(data, offsets).hashes().tolist())) == len(words)
+
+
+@pytest.mark.parametrize("column", [pa.array([], pa.string()), pa.array([None], pa.string())])
+def test_empty_columns(column):
+    assert sum(len(o) - 1 for _, _, o in textbuf.chunks(column)) == len(column)
