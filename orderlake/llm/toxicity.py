@@ -10,7 +10,8 @@ window.  A text's score is that of its highest window.
 
 Labels are per text, so training (numpy, Adam, a fixed number of steps at any table size) uses
 each text's currently highest window and, for clean texts, a random one too.  The word vectors
-start from the words' log odds.  It learns from a bounded sample of ``SAMPLE`` labelled
+start from the words' log odds, and a word counts as unknown in ``UNKNOWN`` of its uses, so that
+its characters are learned too.  It learns from a bounded sample of ``SAMPLE`` labelled
 documents that aren't held out; every window of every text is scored.
 
 Cases: a null or wordless text is one empty window.  Without labels of both kinds every score is
@@ -37,11 +38,12 @@ HIDDEN = 8
 VOCABULARY = 20_000
 MIN_DOCS = 3
 CHAR_BUCKETS = 1 << 14
-SAMPLE = 6000
+SAMPLE = 4000
 EPOCHS = 5
-STEPS = 240
+STEPS = 300
 BATCH = 64
 RATE = 0.01
+UNKNOWN = 0.1
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -86,6 +88,19 @@ def read(data: np.ndarray, offsets: np.ndarray) -> Chunk:
     return Chunk(hashes, char_parts(distinct), words, starts, np.clip(w.first[text + 1] - starts, 0, WINDOW), first)
 
 
+def read_all(texts: list[str]) -> Chunk:
+    """All texts as one chunk, read a chunk at a time."""
+    parts = [read(data, offsets) for _, data, offsets in textbuf.chunks(pa.array(texts, pa.large_string()))]
+    hashes, at, new = np.unique(np.concatenate([c.hashes for c in parts]), return_index=True, return_inverse=True)
+    ends = [np.cumsum([0, *(len(x) for x in of)]) for of in ([c.hashes for c in parts], [c.words for c in parts],
+                                                             [c.starts for c in parts])]
+    return Chunk(hashes, np.concatenate([c.chars for c in parts])[at].astype(np.int32),
+                 np.concatenate([new[a + c.words].astype(np.int32) for a, c in zip(ends[0], parts)]),
+                 np.concatenate([a + c.starts for a, c in zip(ends[1], parts)]),
+                 np.concatenate([c.sizes for c in parts]),
+                 np.concatenate([[0], *(a + c.first[1:] for a, c in zip(ends[2], parts))]))
+
+
 @dataclass
 class Model:
     vocabulary: np.ndarray
@@ -100,7 +115,10 @@ class Model:
         return np.where(self.vocabulary[at] == hashes, at + 1, 0)
 
     def inputs(self, ids: np.ndarray, chars: np.ndarray) -> np.ndarray:
-        return self.p["words"][ids] + self.p["chars"][chars].sum(axis=1)
+        x = self.p["words"][ids]
+        for j in range(chars.shape[-1]):
+            x += self.p["chars"][chars[..., j]]
+        return x
 
     def run(self, x: np.ndarray, sizes: np.ndarray, keep: bool = False):
         """x: (step, window, 3 HIDDEN) input terms of both directions; returns scores, and all states to learn from."""
@@ -155,7 +173,7 @@ class Model:
     def gradient(self, ids: np.ndarray, chars: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Mean logistic loss of windows: ids (step, window), chars (step, window, parts)."""
         p, steps = self.p, len(ids)
-        x = p["words"][ids] + p["chars"][chars].sum(axis=2)
+        x = self.inputs(ids, chars)
         logit, (s, a, pooled, trace) = self.run(self.terms(x), sizes, keep=True)
         g = {k: np.zeros_like(v) for k, v in p.items()}
         d = (_sigmoid(logit) - y) / len(y)
@@ -199,14 +217,14 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model:
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(0, np.uint64), {}, share)
     rng = np.random.default_rng(seed)
-    (_, data, offsets), = textbuf.chunks(pa.array([t for t, _ in sample], pa.large_string()), 1 << 62)
-    c = read(data, offsets)
+    c = read_all([t for t, _ in sample])
     texts = np.repeat(np.arange(len(y)), np.diff(c.first))
 
-    # Vocabulary by document frequency, word vectors from log odds.
-    counts = textbuf.words(data, offsets, textbuf.ALNUM_WORDS).counts
+    # Vocabulary by document frequency, word vectors from log odds.  A text's windows follow each other.
+    last = c.first[1:] - 1
+    counts = c.starts[last] + c.sizes[last] - c.starts[c.first[:-1]]
     pairs = np.unique(np.repeat(np.arange(len(y)), counts) * len(c.hashes) + c.words)
-    docs, word = pairs // len(c.hashes), pairs % len(c.hashes)
+    docs, word = pairs // max(len(c.hashes), 1), pairs % max(len(c.hashes), 1)
     df = np.bincount(word, minlength=len(c.hashes))
     bad = np.bincount(word, weights=y[docs], minlength=len(c.hashes))
     known = np.flatnonzero(df >= MIN_DOCS)
@@ -228,12 +246,18 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model:
     ids = model.word_ids(c.hashes)
     adam = Adam(p, RATE)
     odds = np.where(ids > 0, odds, 0)
-    inside = np.minimum(c.starts + np.arange(WINDOW)[:, None], max(len(c.words) - 1, 0))
-    level = (np.where(np.arange(WINDOW)[:, None] < c.sizes, odds[c.words[inside]], 0).max(axis=0)
-             if len(c.words) else np.zeros(len(c.starts)))
+
+    def words_of(at: np.ndarray) -> np.ndarray:
+        return c.words[np.minimum(c.starts[at] + np.arange(WINDOW)[:, None], len(c.words) - 1)]
+
+    if not len(c.words):
+        return model
+    level = np.concatenate([
+        np.where(np.arange(WINDOW)[:, None] < c.sizes[at], odds[words_of(at)], 0).max(axis=0)
+        for at in np.array_split(np.arange(len(c.starts)), len(c.starts) // 10_000 + 1)])
     toxic, clean = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     for epoch in range(EPOCHS):
-        if epoch and len(c.words):
+        if epoch:
             level = model.window_scores(c)
         order = np.lexsort((level, texts))
         best = order[c.first[1:] - 1]
@@ -242,11 +266,10 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model:
             hard, some = neg[::2], neg[1::2]
             lucky = c.first[some] + (rng.random(len(some)) * np.diff(c.first)[some]).astype(np.int64)
             at = np.concatenate((best[pos], best[hard], lucky))
-            if not len(c.words):
-                break
-            seq = c.words[inside[:, at]]
+            seq = words_of(at)
             adam.rate = RATE * (1 - (epoch * STEPS + step) / (EPOCHS * STEPS)) + 1e-4
-            adam.step(model.gradient(ids[seq], c.chars[seq], c.sizes[at],
+            known = np.where(rng.random(seq.shape) < UNKNOWN, 0, ids[seq])
+            adam.step(model.gradient(known, c.chars[seq], c.sizes[at],
                                      np.concatenate((np.ones(len(pos)), np.zeros(len(at) - len(pos)))).astype(np.float32)))
     model.p = {k: v.astype(np.float32) for k, v in p.items()}
     return model
