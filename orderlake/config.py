@@ -52,6 +52,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path`` (none if it doesn't exist)."""
+    fs, p = _fs_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table of our own (shared file system, recursive)."""
     fs, p = _fs_path(spark, path)

@@ -52,9 +52,10 @@ def merge_states(states: list[DataFrame], keys: list[str]) -> DataFrame:
     return both.groupBy(*keys).agg(F.max(BEST).alias(BEST))
 
 
-def unpack_state(state: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """State -> rows with ``columns`` (keys taken from the key columns)."""
-    return state.select(*[F.col(c) if c in keys else F.col(f"{BEST}.{c}").alias(c) for c in columns])
+def unpack_state(state: DataFrame, keys: list[str], columns: list[str], keep_state: bool = False) -> DataFrame:
+    """State -> rows with ``columns`` (keys taken from the key columns), and the state itself if asked."""
+    rows = [F.col(c) if c in keys else F.col(f"{BEST}.{c}").alias(c) for c in columns]
+    return state.select(*rows, *([BEST] if keep_state else []))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: OrderSpec | None = None) -> DataFrame:

@@ -21,8 +21,10 @@ def _type_sql(c) -> str:
 
 def create_table_sql(t: GoldTable, database: str, location: str) -> str:
     cols = ",\n  ".join(f"{c.name} {_type_sql(c)}{'' if c.nullable else ' NOT NULL'}" for c in t.columns)
-    return (f"CREATE TABLE IF NOT EXISTS {database}.{t.name} (\n  {cols}\n) USING parquet\n"
-            f"LOCATION '{location}'")
+    # The fact has one partition per run that brought rows; publishing points it to its current files.
+    run, parted = (",\n  run_id STRING", "PARTITIONED BY (run_id)\n") if t.kind == "fact" else ("", "")
+    return (f"CREATE TABLE IF NOT EXISTS {database}.{t.name} (\n  {cols}{run}\n) USING parquet\n"
+            f"{parted}LOCATION '{location}'")
 
 
 def ddl_statements(database: str, root: str) -> list[str]:

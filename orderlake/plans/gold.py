@@ -12,23 +12,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.dates import parse_order_date
 from orderlake.operators import dims
 from orderlake.operators.fact import build_fact_sales
 from orderlake.operators.keys import update_key_map
+from orderlake.schemas import GOLD_TABLES, SALES_COLUMNS
+
+
+# Bronze name of a gold column that is declared with a length or a domain, where it differs.
+BRONZE_NAMES = {"region_name": "region"}
+
+
+def declared_rules() -> list[tuple[Column, str]]:
+    """(condition, reason) of bronze rows that break a declared length or domain."""
+    rules = {}
+    for table in GOLD_TABLES.values():
+        for c in table.columns:
+            name = BRONZE_NAMES.get(c.name, c.name)
+            if name not in SALES_COLUMNS:
+                continue
+            if c.max_len is not None:
+                rules[f"{name} longer than {c.max_len}"] = F.length(name) > c.max_len
+            if c.domain is not None:
+                low, high = c.domain
+                rules[f"{name} outside {low} to {high}"] = (F.col(name) < low) | (F.col(name) > high)
+    return [(condition, reason) for reason, condition in rules.items()]
 
 
 def split_valid(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows fit for gold, and the rest with a reason (NOT NULL keys, parsable date)."""
+    """Rows fit for gold, and the rest with a reason: NOT NULL keys, parsable date, declared lengths and domains."""
     reason = (
         F.when(F.col("order_id").isNull(), "null order_id")
         .when(F.col("customer_id").isNull(), "null customer_id")
         .when(F.col("product_id").isNull(), "null product_id")
         .when(parse_order_date("order_date").isNull(), "bad order_date")
     )
+    for condition, text in declared_rules():
+        reason = reason.when(condition, text)
     tagged = bronze.withColumn("_reject", reason)
     good = tagged.where(F.col("_reject").isNull()).drop("_reject")
     bad = tagged.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reject_reason")

@@ -2,15 +2,19 @@
 
 Layout under a warehouse root (a shared folder):
 
-* ``tables/<name>/snapshot=<run_id>/`` — one immutable snapshot per dimension
-  and run (rewriting the same run replaces only its own folder);
-* ``tables/fact_sales/run_id=<run_id>/`` — the fact, one partition per run,
-  written with dynamic partition overwrite: replaying a run replaces its
-  partition instead of appending it twice;
-* ``_manifest/`` — append-only (table, run_id, path, rows, seq) rows; the
-  current version of a table is its highest ``seq``.  Re-pointing the manifest
-  (and the session view of the same name) is the swap; the old snapshot stays
-  readable until it is garbage-collected.
+* ``tables/<name>/snapshot=<run_id>/`` — one snapshot per dimension and run (a
+  retry of a run that wasn't published replaces its own folder);
+* ``tables/fact_sales/version=<run>-<id>/run_id=<part>/`` — the fact, one part per
+  run that brought the rows.  A publish writes its own part and new versions of the
+  older parts that lose rows to it, all into one new folder; nothing that readers
+  see is rewritten or deleted;
+* ``_manifest/`` — append-only (table, run_id, path, rows, seq, part) rows; the
+  current version of a dimension, or of a part of the fact, is its highest ``seq``.
+  One append re-points the dimensions and all parts of a publish together.
+
+An order has one row in the published fact: of all versions that any run brought,
+the one with the largest ordering tuple (``_best``, as the dimensions use), whatever
+the order in which runs arrive or are repeated.
 
 Every write observes its own row count (``DataFrame.observe``): one job per
 table instead of a count job plus a write job.
@@ -19,16 +23,20 @@ table instead of a count job plus a write job.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from orderlake.config import drop_path, materialize_at
+from orderlake.config import materialize
 from orderlake.functions.names import qualified_name
+from orderlake.operators.dedupe import BEST
 from orderlake.operators.keys import _exists
 from orderlake.schemas import DIMENSIONS, FACTS, GOLD_TABLES
+from orderlake.sources import warehouse
+from orderlake.sources.warehouse import Connector
 
 MANIFEST_SCHEMA = StructType([
     StructField("tbl", StringType(), False),
@@ -36,6 +44,7 @@ MANIFEST_SCHEMA = StructType([
     StructField("path", StringType(), False),
     StructField("rows", LongType(), True),
     StructField("seq", LongType(), False),
+    StructField("part", StringType(), True),  # of the fact: the run that brought the rows
 ])
 RUN_COL = "run_id"
 log = logging.getLogger(__name__)
@@ -80,28 +89,39 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 def manifest(spark: SparkSession, wh: Warehouse) -> DataFrame:
     if not _exists(spark, wh.manifest):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.parquet(wh.manifest)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(wh.manifest)
 
 
 def manifest_entries(spark: SparkSession, wh: Warehouse) -> list[tuple]:
-    """All pointer rows (tbl, run_id, path, rows, seq).
+    """All pointer rows (tbl, run_id, path, rows, seq, part).
 
-    Metadata, not data: one row per table per publishing run, read once per
-    publish and resolved on the driver.
+    Metadata, not data: one row per table and changed part per publishing run, read
+    once per publish and resolved on the driver.
     """
     return [tuple(r) for r in manifest(spark, wh).collect()]
 
 
 def _current(entries: list[tuple]) -> dict[str, tuple[str, str, int]]:
     best: dict[str, tuple] = {}
-    for tbl, run_id, path, rows, seq in entries:
+    for tbl, run_id, path, rows, seq, _ in entries:
         if tbl not in best or seq > best[tbl][3]:
             best[tbl] = (run_id, path, rows, seq)
     return {t: v[:3] for t, v in best.items()}
 
 
-def _runs(entries: list[tuple], name: str) -> list[str]:
-    return sorted({run_id for tbl, run_id, *_ in entries if tbl == name})
+def _parts(entries: list[tuple], name: str) -> dict[str, str]:
+    """part -> path of the fact's current parts (without emptied ones)."""
+    best: dict[str, tuple] = {}
+    for tbl, _, path, rows, seq, part in entries:
+        if tbl == name and (part not in best or seq > best[part][0]):
+            best[part] = (seq, path, rows)
+    return {part: path for part, (_, path, rows) in best.items() if rows}
+
+
+def _runs(entries: list[tuple], name: str) -> dict[str, int]:
+    """run -> rows that it brought, of the published runs of a fact table."""
+    return {part: rows for tbl, run_id, _, rows, _, part in sorted(entries, key=lambda e: -e[4])
+            if tbl == name and run_id == part}
 
 
 def current_versions(spark: SparkSession, wh: Warehouse) -> dict[str, tuple[str, str, int]]:
@@ -111,41 +131,40 @@ def current_versions(spark: SparkSession, wh: Warehouse) -> dict[str, tuple[str,
 
 def published_runs(spark: SparkSession, wh: Warehouse, name: str) -> list[str]:
     """Runs of a fact table that passed publishing (bounded by the number of runs)."""
-    return _runs(manifest_entries(spark, wh), name)
+    return sorted(_runs(manifest_entries(spark, wh), name))
 
 
-def _point(spark: SparkSession, wh: Warehouse, entries: list[tuple[str, str, str, int]]) -> None:
-    """Append (tbl, run_id, path, rows) pointers; re-publishing the same thing is a no-op.
+def _point(spark: SparkSession, wh: Warehouse, entries: list[tuple]) -> None:
+    """Append (tbl, run_id, path, rows, part) pointers in one write; part is None for a dimension.
 
-    A dimension entry is new unless it is already the current version; a fact
-    entry (one per run) is new unless that run is already published.
+    Pointing to what is current already is a no-op.
     """
     known = manifest_entries(spark, wh)
     current = _current(known)
     seq0 = max((e[4] for e in known), default=0)
-
-    def is_new(e):
-        if e[0] in FACTS:
-            return e[1] not in _runs(known, e[0])
-        return current.get(e[0], (None, None))[:2] != (e[1], e[2])
-
-    new = [(t, r, p, n, seq0 + i + 1) for i, (t, r, p, n) in enumerate(e for e in entries if is_new(e))]
+    fresh = [e for e in entries if e[4] is not None or current.get(e[0], (None, None))[:2] != (e[1], e[2])]
+    new = [(t, r, p, n, seq0 + i + 1, part) for i, (t, r, p, n, part) in enumerate(fresh)]
     if new:
         spark.createDataFrame(new, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(wh.manifest)
     known += new
-    for t, _, p, _ in entries:
+    for t in dict.fromkeys(e[0] for e in entries):
         qualified = qualified_name(t, wh.database) if wh.database else None
-        if qualified and t not in FACTS and table_exists(spark, qualified):
-            # X3 swap: the declared table now reads the new snapshot.
-            run_statement(spark, f"ALTER TABLE {qualified} SET LOCATION '{p}'")
-            run_statement(spark, f"REFRESH TABLE {qualified}")
-        else:
+        if not (qualified and table_exists(spark, qualified)):
             open_table(spark, wh, t, known).createOrReplaceTempView(t)
+            continue
+        for _, _, path, rows, part in (e for e in entries if e[0] == t):
+            for statement in _swap(qualified, path, rows, part):
+                run_statement(spark, statement)
+        run_statement(spark, f"REFRESH TABLE {qualified}")
 
 
-def register_view(spark: SparkSession, name: str, wh: Warehouse) -> None:
-    """Session view ``name`` -> its published version (X2 statement runner)."""
-    open_table(spark, wh, name).createOrReplaceTempView(name)
+def _swap(table: str, path: str, rows: int, part: str | None) -> list[str]:
+    """The declared table (or its partition of one run) now reads ``path``."""
+    if part is None:
+        return [f"ALTER TABLE {table} SET LOCATION '{path}'"]
+    partition = f"PARTITION ({RUN_COL} = '{part}')"
+    drop = f"ALTER TABLE {table} DROP IF EXISTS {partition}"
+    return [drop, f"ALTER TABLE {table} ADD {partition} LOCATION '{path}'"] if rows else [drop]
 
 
 def run_statement(spark: SparkSession, sql: str) -> DataFrame:
@@ -163,10 +182,9 @@ def open_table(spark: SparkSession, wh: Warehouse, name: str, entries: list[tupl
     entries = manifest_entries(spark, wh) if entries is None else entries
     cols = GOLD_TABLES[name].column_names
     if name in FACTS:
-        runs = _runs(entries, name)
-        if not runs:
+        if not _runs(entries, name):
             raise KeyError(f"{name} has not been published under {wh.root}")
-        return read_fact_table(spark, wh.table_dir(name), name).where(F.col(RUN_COL).isin(runs)).select(*cols)
+        return read_fact_parts(spark, wh, _parts(entries, name), name).select(*cols)
     versions = _current(entries)
     if name not in versions:
         raise KeyError(f"{name} has not been published under {wh.root}")
@@ -191,7 +209,7 @@ def stage_dimension(wh: Warehouse, name: str, df: DataFrame, run_id: str) -> tup
 def load_dimension(spark: SparkSession, wh: Warehouse, name: str, df: DataFrame, run_id: str) -> int:
     """Stage the snapshot, then swap the pointer (first publish simply creates it)."""
     path, rows = stage_dimension(wh, name, df, run_id)
-    _point(spark, wh, [(name, run_id, path, rows)])
+    _point(spark, wh, [(name, run_id, path, rows, None)])
     return rows
 
 
@@ -199,54 +217,85 @@ def load_dimension(spark: SparkSession, wh: Warehouse, name: str, df: DataFrame,
 
 def load_fact(spark: SparkSession, wh: Warehouse, fact: DataFrame, run_id: str,
               name: str = "fact_sales") -> int:
-    """Replay-safe append of this run's fact rows.
-
-    1. write partition ``run_id=<run>`` with dynamic overwrite (a replay
-       replaces it);
-    2. orders of this run that already sit in an *older* run's partition are
-       corrections: those partitions are rewritten without them, so every
-       order keeps exactly one row (the newest run wins).
-    """
-    table = wh.table_dir(name)
-    rows = load_fact_staged(wh, fact, run_id, name)
-    _drop_superseded(spark, table, run_id)
-    _point(spark, wh, [(name, run_id, table, rows)])
-    return rows
+    """Publish this run's fact rows; a replay replaces what the run brought before."""
+    entries = merge_fact(spark, wh, stage_fact(fact, name), run_id, name)
+    _point(spark, wh, entries)
+    return next(e[3] for e in entries if e[4] == run_id)
 
 
-def read_fact_table(spark: SparkSession, table: str, name: str = "fact_sales") -> DataFrame:
-    """All partitions of a fact table; ``run_id`` always typed as text."""
-    schema = StructType(GOLD_TABLES[name].schema.fields + [StructField(RUN_COL, StringType(), True)])
-    return spark.read.schema(schema).parquet(table)
+def stage_fact(fact: DataFrame, name: str = "fact_sales") -> DataFrame:
+    """The run's rows with their ordering tuple, stored aside (nothing published).
 
-
-def _drop_superseded(spark: SparkSession, table: str, run_id: str) -> None:
-    full = read_fact_table(spark, table)
-    mine = full.where(F.col(RUN_COL) == run_id).select("order_id")
-    older = full.where(F.col(RUN_COL) != run_id)
-    hit = older.join(mine, "order_id", "left_semi").select(RUN_COL).distinct()
-    # One value per earlier run: bounded by the number of runs, not by rows.
-    runs = [r[0] for r in hit.collect()]
-    if not runs:
-        return
-    # Written aside first: we are about to overwrite the partitions we read from.
-    keep, keep_path = materialize_at(
-        older.where(F.col(RUN_COL).isin(runs)).join(mine, "order_id", "left_anti"), "superseded-keep")
-    (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(RUN_COL).parquet(table))
-    drop_path(spark, keep_path)
+    A fact without ``_best`` is ordered by its date, then by its other columns.
+    """
+    cols = GOLD_TABLES[name].column_names
+    if BEST not in fact.columns:
+        rest = [c for c in cols if c not in ("order_id", "date_key")]
+        fact = fact.withColumn(BEST, F.struct("date_key", *rest))
+    return materialize(fact.select(*cols, BEST), "staged-fact")
+
+
+def read_fact_parts(spark: SparkSession, wh: Warehouse, parts: dict[str, str], name: str = "fact_sales",
+                    state: StructType | None = None) -> DataFrame:
+    """The rows of some parts with ``run_id`` (their part), and ``_best`` if its type is given."""
+    fields = [*GOLD_TABLES[name].schema.fields, *([StructField(BEST, state, True)] if state else []),
+              StructField(RUN_COL, StringType(), True)]
+    if not parts:
+        return spark.createDataFrame([], StructType(fields))
+    return (spark.read.schema(StructType(fields)).option("basePath", wh.table_dir(name))
+            .parquet(*parts.values()).select(*[f.name for f in fields]))
+
+
+def merge_fact(spark: SparkSession, wh: Warehouse, staged: DataFrame, run_id: str,
+               name: str = "fact_sales") -> list[tuple]:
+    """Write the parts that this run changes; returns their manifest entries.
+
+    1. orders of the run that other parts hold are found by order_id alone (a pruned scan);
+    2. only in the parts that were hit are the versions compared.  The run's rows that lose
+       are left out, the older rows that lose go from a new version of their part.
+    """
+    others = {p: path for p, path in _parts(manifest_entries(spark, wh), name).items() if p != run_id}
+    state = staged.schema[BEST].dataType
+    table = wh.table_dir(name)
+    mine = staged.withColumn(RUN_COL, F.lit(run_id))
+    written, hit = mine, []
+    if others:
+        shared = materialize(read_fact_parts(spark, wh, others, name).select("order_id", RUN_COL)
+                             .join(staged.select("order_id"), "order_id"), "shared-orders")
+        hit = [r[0] for r in shared.select(RUN_COL).distinct().collect()]  # at most one value per run
+    if hit:
+        older = read_fact_parts(spark, wh, {p: others[p] for p in hit}, name, state)
+        pairs = materialize(
+            older.join(shared, ["order_id", RUN_COL], "left_semi").select("order_id", RUN_COL, BEST)
+            .join(staged.select("order_id", F.col(BEST).alias("_mine")), "order_id")
+            .select("order_id", RUN_COL, (F.col(BEST) < F.col("_mine")).alias("_older_loses")), "versions")
+        losing = pairs.where("_older_loses").select("order_id", RUN_COL)
+        hit = [r[0] for r in losing.select(RUN_COL).distinct().collect()]
+        kept = older.where(F.col(RUN_COL).isin(hit)).join(losing, ["order_id", RUN_COL], "left_anti")
+        winners = mine.join(pairs.where("NOT _older_loses").select("order_id"), "order_id", "left_anti")
+        written = winners.unionByName(kept)
+    # Sorted by date within each file: Parquet min/max statistics then let
+    # date-range reports skip row groups (a local sort, no extra shuffle).
+    folder = f"{table}/version={run_id}-{uuid.uuid4().hex[:8]}"
+    (written.sortWithinPartitions(RUN_COL, "date_key", "order_id").write.partitionBy(RUN_COL).parquet(folder))
+    paths = {p: f"{folder}/{RUN_COL}={p}" for p in [run_id, *hit]}
+    present = {p: path for p, path in paths.items() if _exists(spark, path)}
+    rows = {r[RUN_COL]: r["count"] for r in read_fact_parts(spark, wh, present, name).groupBy(RUN_COL).count().collect()}
+    log.info("fact %s: run %s brought %d rows, %d older parts changed", name, run_id, rows.get(run_id, 0), len(hit))
+    return [(name, run_id, path, rows.get(p, 0), p) for p, path in paths.items()]
 
 
 # --------------------------------------------------------------------- all
 
 def load_all(spark: SparkSession, wh: Warehouse, tables: dict[str, DataFrame], run_id: str,
              gate=None) -> dict[str, int]:
-    """Stage every dimension, append the fact, run the gate, then re-point.
+    """Stage every dimension and the fact, run the gate, then re-point them together.
 
-    Dimensions are published before the fact.  When ``gate`` (a callable
-    returning failing check rows) reports failures, no pointer moves.
+    When ``gate`` (a callable returning failing check rows) reports failures, no pointer
+    moves.  A run that is published already changes nothing.
     """
-    current = current_versions(spark, wh)
+    known = manifest_entries(spark, wh)
+    current = _current(known)
     staged = {}
     for n in DIMENSIONS:
         done = current.get(n)
@@ -254,31 +303,34 @@ def load_all(spark: SparkSession, wh: Warehouse, tables: dict[str, DataFrame], r
             staged[n] = (done[1], done[2])
         else:
             staged[n] = stage_dimension(wh, n, tables[n], run_id)
-    fact_rows = {}
-    known = manifest_entries(spark, wh)
-    for n in (t for t in tables if t not in staged):
-        done = [e[3] for e in known if e[0] == n and e[1] == run_id]
-        if done:  # a repeated run: its partition is already published
-            fact_rows[n] = done[0]
-        else:
-            fact_rows[n] = load_fact_staged(wh, tables[n], run_id, n)
+    done_rows = {n: _runs(known, n)[run_id] for n in tables if n in FACTS and run_id in _runs(known, n)}
+    facts = {n: stage_fact(tables[n], n) for n in tables if n in FACTS and n not in done_rows}
     if gate is not None:
         failures = gate({n: spark.read.parquet(p) for n, (p, _) in staged.items()},
-                        {n: read_fact_table(spark, wh.table_dir(n), n).where(F.col(RUN_COL) == run_id)
-                         for n in fact_rows},
-                        {n: r for n, (_, r) in staged.items()})
+                        {n: df.drop(BEST) for n, df in facts.items()}, {n: r for n, (_, r) in staged.items()})
         if failures:
             raise ValueError(f"quality gate failed, nothing published: {failures}")
-    _point(spark, wh, [(n, run_id, p, r) for n, (p, r) in staged.items()])
-    for n, rows in fact_rows.items():
-        _drop_superseded(spark, wh.table_dir(n), run_id)
-        _point(spark, wh, [(n, run_id, wh.table_dir(n), rows)])
-    return {**{n: r for n, (_, r) in staged.items()}, **fact_rows}
+    entries = [(n, run_id, p, r, None) for n, (p, r) in staged.items()]
+    for n, df in facts.items():
+        entries += merge_fact(spark, wh, df, run_id, n)
+    _point(spark, wh, entries)
+    fact_rows = {n: next(e[3] for e in entries if e[0] == n and e[4] == run_id) for n in facts}
+    return {**{n: r for n, (_, r) in staged.items()}, **done_rows, **fact_rows}
 
 
-def load_fact_staged(wh: Warehouse, fact: DataFrame, run_id: str, name: str = "fact_sales") -> int:
-    cols = GOLD_TABLES[name].column_names
-    # Sorted by date within each file: Parquet min/max statistics then let
-    # date-range reports skip row groups (a local sort, no extra shuffle).
-    rows = fact.select(*cols).withColumn(RUN_COL, F.lit(run_id)).sortWithinPartitions("date_key", "order_id")
-    return write_table(rows, wh.table_dir(name), mode="overwrite", partition_by=[RUN_COL], dynamic=True)
+def publish_to_connector(spark: SparkSession, wh: Warehouse, conn: Connector, prefix: str = "",
+                         tables: list[str] | None = None) -> dict[str, int]:
+    """X5 to an outside warehouse: the published version of every table through ``conn``.
+
+    Each table is written whole to ``<prefix><table>_staging`` and then to its own name, so
+    a failed transfer leaves the target as it was.  Returns the rows sent.
+    """
+    entries = manifest_entries(spark, wh)
+    sent = {}
+    for n in tables or GOLD_TABLES:
+        df = open_table(spark, wh, n, entries)
+        warehouse.write_table(df, conn, f"{prefix}{n}_staging")
+        obs = Observation()
+        warehouse.write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), conn, f"{prefix}{n}")
+        sent[n] = int(obs.get["rows"])
+    return sent

@@ -158,3 +158,131 @@ def test_crash_between_write_and_publish_then_rerun_converges(spark, monkeypatch
     fact = open_table(spark, cfg.warehouse, "fact_sales")
     assert fact.count() == fact.select("order_id").distinct().count() == 5999
     assert calls["n"] == 1
+
+
+# ------------------------------------------------------------- corrections across runs
+
+def _order(order_id, total, date="2024-01-05", **more):
+    row = dict(order_id=order_id, customer_id="C1", product_id="P1", category="A", price=1.0, discount=0.1, quantity=1,
+               payment_method="card", order_date=date, delivery_time_days=2, region="North", returned="No",
+               total_amount=float(total), shipping_cost=0.5, profit_margin=0.25, customer_age=30, customer_gender="F")
+    return {**row, **more}
+
+
+def _sales(spark, *rows):
+    from orderlake.schemas import SALES
+
+    return spark.createDataFrame([tuple(r[f] for f in SALES.names) for r in rows], SALES)
+
+
+def _daily(spark, name):
+    root = scratch_path(spark, name)
+    return RunConfig(EventLog("files", path=f"{root}/log"), f"{root}/lake", Warehouse(f"{root}/wh"))
+
+
+def _rows_of(fact):
+    return sorted((r.order_id, r.total_amount) for r in fact.collect())
+
+
+def _published(spark, cfg):
+    return _rows_of(open_table(spark, cfg.warehouse, "fact_sales"))
+
+
+def _versions(spark, *rows):
+    """The fact of one run, with its ordering tuple."""
+    from orderlake.operators.fact import build_fact_sales
+
+    region = spark.createDataFrame([(0, "North"), (1, "South")], "region_id long, region_name string")
+    payment = spark.createDataFrame([(0, "card")], "payment_id long, payment_method string")
+    return build_fact_sales(_sales(spark, *rows).coalesce(1), region, payment, 2, 1, keep_state=True)
+
+
+CORRECTIONS = {
+    "whole run superseded": [[("o1", 10)], [("o1", 20)]],
+    "part of a run superseded": [[("o1", 10), ("o2", 11)], [("o1", 20), ("o3", 5)]],
+    "older version arrives later": [[("o1", 20, "2024-02-01")], [("o1", 30, "2024-01-01"), ("o4", 1)]],
+    "three versions": [[("o1", 10)], [("o1", 30), ("o2", 2)], [("o1", 20), ("o2", 3)]],
+}
+
+
+@pytest.mark.parametrize("case", sorted(CORRECTIONS))
+def test_corrections_equal_one_build(spark, case):
+    wh = Warehouse(scratch_path(spark, "corrections"))
+    runs = [[_order(*r) for r in run] for run in CORRECTIONS[case]]
+    for i, rows in enumerate(runs):
+        load_fact(spark, wh, _versions(spark, *rows), f"r{i}")
+    whole = _rows_of(_versions(spark, *[r for rows in runs for r in rows]))
+    assert _rows_of(open_table(spark, wh, "fact_sales")) == whole
+    load_fact(spark, wh, _versions(spark, *runs[0]), "r0")  # an earlier run repeated after a later one
+    assert _rows_of(open_table(spark, wh, "fact_sales")) == whole
+
+
+def test_readers_see_whole_versions_between_steps(spark, monkeypatch):
+    """Whatever a publish has written, the published fact is the old one until the pointers move."""
+    import orderlake.plans.publish as pub
+
+    wh = Warehouse(scratch_path(spark, "readers"))
+    load_fact(spark, wh, _versions(spark, _order("o1", 10), _order("o2", 11)), "r1")
+    seen = []
+    for step in ("stage_fact", "merge_fact", "_point"):
+        real = getattr(pub, step)
+
+        def watched(*a, _real=real, **k):
+            before = _rows_of(open_table(spark, wh, "fact_sales"))
+            out = _real(*a, **k)
+            seen.append((before, _rows_of(open_table(spark, wh, "fact_sales"))))
+            return out
+
+        monkeypatch.setattr(pub, step, watched)
+    pub.load_fact(spark, wh, _versions(spark, _order("o1", 20)), "r2")
+    old, new = [("o1", 10.0), ("o2", 11.0)], [("o1", 20.0), ("o2", 11.0)]
+    assert seen == [(old, old), (old, old), (old, new)]
+
+
+def test_run_after_failed_gate_takes_its_orders_along(spark):
+    cfg = _daily(spark, "failed-gate")
+    strict = RunConfig(cfg.log, cfg.lake_root, cfg.warehouse)
+    import orderlake.plans.daily_run as dr
+
+    real = dr.load_all
+    dr.load_all = lambda *a, **k: (_ for _ in ()).throw(ValueError("quality gate failed"))
+    try:
+        with pytest.raises(ValueError, match="gate"):
+            daily_run(spark, strict, "r1", source=_sales(spark, _order("o1", 1), _order("o2", 2)))
+    finally:
+        dr.load_all = real
+    daily_run(spark, cfg, "r2", source=_sales(spark, _order("o3", 3)))
+    assert _published(spark, cfg) == [("o1", 1.0), ("o2", 2.0), ("o3", 3.0)]
+
+
+def test_rows_breaking_declared_rules_are_diverted(spark):
+    cfg = _daily(spark, "diverted")
+    rows = [_order("o1", 1), _order("o2", 2, discount=1.5), _order("o" * 21, 3), _order("o4", 4, region="r" * 51)]
+    daily_run(spark, cfg, "r1", source=_sales(spark, *rows))
+    assert _published(spark, cfg) == [("o1", 1.0)]
+    reasons = {r.reject_reason for r in spark.read.parquet(cfg.gold_quarantine).collect()}
+    assert reasons == {"discount outside 0.0 to 1.0", "order_id longer than 20", "region longer than 50"}
+
+
+def test_declared_fact_is_filled(spark):
+    root = scratch_path(spark, "declared-fact")
+    declare_gold(spark, "orderlake_fact", root)
+    cfg = RunConfig(EventLog("files", path=f"{root}/log"), f"{root}/lake", Warehouse(root, database="orderlake_fact"))
+    daily_run(spark, cfg, "r1", source=_sales(spark, _order("o1", 10), _order("o2", 11, region="South")))
+    daily_run(spark, cfg, "r2", source=_sales(spark, _order("o1", 20)))
+    got = spark.sql("SELECT r.region_name, COUNT(f.order_id) AS n, SUM(f.total_amount) AS s FROM orderlake_fact.fact_sales f "
+                    "JOIN orderlake_fact.dim_region r ON f.region_id = r.region_id GROUP BY r.region_name").collect()
+    assert sorted(tuple(r) for r in got) == [("North", 1, 20.0), ("South", 1, 11.0)]
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_publish_to_connector(spark):
+    from orderlake.plans.publish import publish_to_connector
+    from orderlake.sources.warehouse import Connector
+
+    cfg = _daily(spark, "connector")
+    daily_run(spark, cfg, "r1", source=_sales(spark, _order("o1", 10)))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS orderlake_out LOCATION '{scratch_path(spark, 'out')}'")
+    sent = publish_to_connector(spark, cfg.warehouse, Connector(), "orderlake_out.")
+    assert sent["fact_sales"] == 1 and spark.table("orderlake_out.fact_sales").first().total_amount == 10.0
+    assert spark.table("orderlake_out.dim_region").count() == 1
