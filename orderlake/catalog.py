@@ -25,7 +25,7 @@ from orderlake.sources.csv import read_sales_csv, write_sales_csv
 from orderlake.sources.eventlog import EventLog, peek_events, publish_events, read_events
 from orderlake.sources.faults import damage_events, order_key
 from orderlake.sources.tables import read_table, sales_projection
-from orderlake.streaming.ingest import IngestPaths, ingest, read_bronze
+from orderlake.streaming.ingest import IngestPaths, ingest, read_bronze, read_quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,9 +102,8 @@ def _core() -> dict[str, Query]:
 
 # ---------------------------------------------------------------- sources & streams
 
-# Producer slice size for the resume query (the reference sends 500 per run;
-# a larger slice keeps the number of simulated runs small, not the data).
-RESUME_SLICE_ROWS = 20_000
+# Producer runs of the resume query: each sends this part of the source.
+RESUME_RUNS = 3
 
 
 def _paths(root: str) -> IngestPaths:
@@ -151,7 +150,7 @@ def q_stream_quarantine(spark, sf_dir):
     damage_events(sales_projection(spark, sf_dir)).write.text(log.path)
     paths = _paths(root)
     ingest(spark, log, paths)
-    return spark.read.parquet(paths.quarantine).select("order_id", "reject_reason")
+    return read_quarantine(spark, paths.quarantine).select("order_id", "reject_reason")
 
 
 def q_incremental_resume(spark, sf_dir):
@@ -161,9 +160,9 @@ def q_incremental_resume(spark, sf_dir):
     source = read_sales_csv(spark, f"{root}/source_csv")
     log = EventLog("files", path=f"{root}/log")
     paths = _paths(root)
-    run = 0
+    run, slice_rows = 0, -(-source.count() // RESUME_RUNS)
     while True:
-        sent = produce_batch(spark, source, "order_id", RESUME_SLICE_ROWS, f"{root}/_control",
+        sent = produce_batch(spark, source, "order_id", slice_rows, f"{root}/_control",
                              "sales_csv", f"run-{run}", lambda b: publish_events(b, log))
         ingest(spark, log, paths)
         run += 1

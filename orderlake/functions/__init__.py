@@ -5,7 +5,6 @@ from orderlake.functions.dates import calendar_columns, date_key, parse_order_da
 from orderlake.functions.names import qualified_name, upper_ident
 from orderlake.functions.values import (
     exact_avg,
-    exact_sum,
     exact_sum_dec,
     nan_to_null,
     percent_2dp,
@@ -14,6 +13,6 @@ from orderlake.functions.values import (
 
 __all__ = [
     "calendar_columns", "date_key", "decode_events", "encode_events", "exact_avg",
-    "exact_sum", "exact_sum_dec", "nan_to_null", "parse_order_date", "percent_2dp",
+    "exact_sum_dec", "nan_to_null", "parse_order_date", "percent_2dp",
     "qualified_name", "returned_flag", "upper_ident",
 ]

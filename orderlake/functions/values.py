@@ -1,8 +1,8 @@
 """Value functions: flags, NaN normalisation and exact aggregates.
 
-Sums of double measures go through DECIMAL(18,4): the result is exact and does
-not depend on row order, partition count or AQE, and it is cast back to DOUBLE
-once at the end.
+Sums of double measures go through DECIMAL(28,10), ten decimals of each measure: the
+sum is exact and does not depend on row order, partition count or AQE, and it is cast
+back to DOUBLE once at the end.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-MEASURE_DECIMAL = DecimalType(18, 4)
+MEASURE_DECIMAL = DecimalType(28, 10)
 
 
 def _c(c: Column | str) -> Column:
@@ -34,11 +34,6 @@ def exact_sum_dec(c: Column | str) -> Column:
     return F.sum(_c(c).cast(MEASURE_DECIMAL))
 
 
-def exact_sum(c: Column | str) -> Column:
-    """A5: order-independent SUM of a double measure, returned as DOUBLE."""
-    return exact_sum_dec(c).cast("double")
-
-
 def exact_avg(sum_dec: Column, n: Column) -> Column:
     """Exact sum / non-null count, as DOUBLE."""
     return sum_dec.cast("double") / n
@@ -47,7 +42,7 @@ def exact_avg(sum_dec: Column, n: Column) -> Column:
 def percent_2dp(part: Column, whole: Column) -> Column:
     """part*100/whole rounded half-up to 2 decimals, as DOUBLE.
 
-    Written with floor() so every engine computes the same bits.
+    Hundredths of a percent in whole numbers, so a tie rounds up exactly.
     """
-    pct = part.cast("double") * 100.0 / whole
-    return F.floor(pct * 100.0 + 0.5) / 100.0
+    part, whole = part.cast("bigint"), whole.cast("bigint")
+    return F.call_function("div", part * 20_000 + whole, whole * 2) / F.lit(100.0)

@@ -55,8 +55,9 @@ def sales_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     disc = F.col("l_discount").cast(RATE)
     tax = F.col("l_tax").cast(RATE)
     return joined.select(
-        F.concat_ws("-", *[F.col(c).cast("string") for c in
-                           ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("order_id"),
+        # Part and supplier in hexadecimal, so that ids of a tenfold table still fit VARCHAR(20).
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+                    F.hex(F.col("l_partkey").cast("bigint")), F.hex(F.col("l_suppkey").cast("bigint"))).alias("order_id"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("product_id"),
         F.col("p_type").alias("category"),
