@@ -64,7 +64,10 @@ def main(argv=None) -> None:
         print(json.dumps({"run_id": report.run_id, "sent": report.sent, "rows": report.rows}))
     else:
         wh = Warehouse(args.warehouse)
-        REPORTS[args.name]({n: open_table(spark, wh, n) for n in GOLD_TABLES}).show(1000, truncate=False)
+        report = REPORTS[args.name]({n: open_table(spark, wh, n) for n in GOLD_TABLES})
+        print("\t".join(report.columns))
+        for row in report.toLocalIterator():  # every row, a partition at a time
+            print("\t".join("" if v is None else str(v) for v in row))
 
 
 if __name__ == "__main__":
