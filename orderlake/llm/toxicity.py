@@ -44,6 +44,7 @@ STEPS = 300
 BATCH = 64
 RATE = 0.01
 UNKNOWN = 0.1
+SHRINK = 0.006
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -245,6 +246,7 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model:
     model = Model(c.hashes[known], p, share)
     ids = model.word_ids(c.hashes)
     adam = Adam(p, RATE)
+    begin = p["words"].copy()
     odds = np.where(ids > 0, odds, 0)
 
     def words_of(at: np.ndarray) -> np.ndarray:
@@ -262,7 +264,7 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model:
         order = np.lexsort((level, texts))
         best = order[c.first[1:] - 1]
         for step in range(STEPS):
-            pos, neg = rng.choice(toxic, BATCH // 4), rng.choice(clean, BATCH // 2)
+            pos, neg = rng.choice(toxic, BATCH // 4), rng.choice(clean, 3 * BATCH // 4)
             hard, some = neg[::2], neg[1::2]
             lucky = c.first[some] + (rng.random(len(some)) * np.diff(c.first)[some]).astype(np.int64)
             at = np.concatenate((best[pos], best[hard], lucky))
@@ -271,6 +273,9 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model:
             known = np.where(rng.random(seq.shape) < UNKNOWN, 0, ids[seq])
             adam.step(model.gradient(known, c.chars[seq], c.sizes[at],
                                      np.concatenate((np.ones(len(pos)), np.zeros(len(at) - len(pos)))).astype(np.float32)))
+            # Vectors fall back to where they began unless many uses move them: rare words aren't memorised.
+            p["chars"] *= 1 - SHRINK
+            p["words"] += SHRINK * (begin - p["words"])
     model.p = {k: v.astype(np.float32) for k, v in p.items()}
     return model
 
