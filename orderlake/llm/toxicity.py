@@ -11,7 +11,8 @@ window.  A text's score is that of its highest window.
 Labels are per text, so training (numpy, Adam, a fixed number of steps at any table size) uses
 each text's currently highest window and, for clean texts, a random one too.  The word vectors
 start from the words' log odds, and a word counts as unknown in ``UNKNOWN`` of its uses, so that
-its characters are learned too.  It learns from a bounded sample of ``SAMPLE`` labelled
+its characters are learned too, and shrinks back to where it began, so that the words of a few
+texts aren't memorised.  It learns from a bounded sample of ``SAMPLE`` labelled
 documents that aren't held out; every window of every text is scored.
 
 Cases: a null or wordless text is one empty window.  Without labels of both kinds every score is
@@ -43,8 +44,8 @@ EPOCHS = 5
 STEPS = 300
 BATCH = 64
 RATE = 0.01
-UNKNOWN = 0.1
-SHRINK = 0.006
+UNKNOWN = 0.2
+SHRINK = 0.01
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -273,8 +274,7 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model:
             known = np.where(rng.random(seq.shape) < UNKNOWN, 0, ids[seq])
             adam.step(model.gradient(known, c.chars[seq], c.sizes[at],
                                      np.concatenate((np.ones(len(pos)), np.zeros(len(at) - len(pos)))).astype(np.float32)))
-            # Vectors fall back to where they began unless many uses move them: rare words aren't memorised.
-            p["chars"] *= 1 - SHRINK
+            # Word vectors fall back to where they began unless many uses move them.
             p["words"] += SHRINK * (begin - p["words"])
     model.p = {k: v.astype(np.float32) for k, v in p.items()}
     return model
