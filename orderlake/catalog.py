@@ -15,6 +15,7 @@ from orderlake.config import materialize, scratch_path
 from orderlake.functions.codec import decode_events
 from orderlake.operators import quality, reports
 from orderlake.operators.dedupe import latest_per_key
+from orderlake.operators.fact import build_fact_sales
 from orderlake.operators.keys import update_key_map
 from orderlake.operators.slicing import positional_slice, produce_batch
 from orderlake.plans.daily_run import RunConfig, daily_run
@@ -249,6 +250,33 @@ def q_fact_replay(spark, sf_dir):
     return open_table(spark, wh, "fact_sales")
 
 
+# Corrections sent by a second run (modulus on the order key, date and amount of the version).
+OLDER_EVERY, OLDER_VERSION = 7, ("1990-01-01", -1.0)
+NEWER_EVERY, NEWER_VERSION = 11, ("2030-01-01", 1.0)
+
+
+def q_fact_corrections(spark, sf_dir):
+    """All orders, then older and newer versions of some of them, then the first run replayed."""
+    wh = Warehouse(scratch_path(spark, "wh"))
+    sales = bronze_table(spark, sf_dir)
+
+    def versions(every, version):
+        return (sales.where(order_key() % every == 0)
+                .withColumns({"order_date": F.lit(version[0]), "total_amount": F.lit(version[1])}))
+
+    star = star_schema(sales)
+    region, payment = star["dim_region"], star["dim_payment"]
+    n_region, n_payment = region.count(), payment.count()
+
+    def load(rows, run_id):
+        load_fact(spark, wh, build_fact_sales(rows, region, payment, n_region, n_payment, keep_state=True), run_id)
+
+    load(sales, "run-1")
+    load(versions(OLDER_EVERY, OLDER_VERSION).unionByName(versions(NEWER_EVERY, NEWER_VERSION)), "run-2")
+    load(sales, "run-1")
+    return open_table(spark, wh, "fact_sales")
+
+
 def q_publish_dimensions(spark, sf_dir):
     """dim_customer published from the early orders, then swapped for the full build."""
     wh = Warehouse(scratch_path(spark, "wh"))
@@ -323,6 +351,7 @@ GOLD_QUERIES = {
     "dq_lengths": _dq("max_length"),
     "dim_incremental_keys": q_dim_incremental_keys,
     "fact_replay": q_fact_replay,
+    "fact_corrections": q_fact_corrections,
     "publish_dimensions": q_publish_dimensions,
     "publish_all": q_publish_all,
     "gold_run_metrics": q_gold_run_metrics,
