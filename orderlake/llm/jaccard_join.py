@@ -5,28 +5,30 @@ A document's set: the distinct five-word shingles of its lower-cased words, as 6
 Every link is found, none is expanded into copies:
 
 1. Texts with equal sets are one class; from here on a class counts once.
-2. First prefix, in hash order: of its n shingles a class shows the n - ceil(0.8 n) + k(n)
-   smallest, k(n) = max(1, n // 10).  Two linked classes have min(k, k') of these in common
-   (each prefix misses at most ceil(0.8 n) - k of the common shingles, and the common ones
-   of both are the smallest of all common ones).  So a class with fewer than k(ceil(0.8 n))
-   shown shingles that any other class shows has no link and is out; that is most of a corpus.
-3. Second prefix, rare first: the shown shingles of the rest are sorted by their number of
-   classes, and linked classes share one of the first |shown| - k(ceil(0.8 n)) + 1.  These
-   are the postings.
+2. Hash-ordered prefix, to find candidates cheaply: of its n shingles a class shows the
+   n - ceil(0.8 n) + k(n) smallest hashes, k(n) = max(1, n // 10).  Two linked classes have min(k, k') of
+   these in common (each prefix misses at most ceil(0.8 n) - k of the common shingles, and the common
+   ones of both are the smallest of all common ones).  So a class with fewer than k(ceil(0.8 n)) shown
+   shingles that any other class shows has no link and is out; that is most of a corpus.
+3. Rare-first prefix: the whole sets of the candidates, sorted by the number of candidates that
+   have a shingle.  s of a class's n shingles are shared with any other; it is out if s < ceil(0.8 n).
+   Linked classes share one of the first n - ceil(0.8 n) + 1 (the n - s unshared ones come first).
+   These are the postings.
 4. A posting list is not paired off.  Every class is compared to the one leader (smallest
    class) that most of its lists have, then to its other leaders where they are in another
    component by then.  What is left are lists with several components: the classes outside a
-   list's main component are compared to the list's classes in other components, after the
-   length, positional and suffix filters.  Two classes of one component need no comparison, so
-   a group of m near copies costs about m comparisons.
+   list's main component are compared to the list's classes in other components.  Two classes of one
+   component need no comparison, so a group of m near copies costs about m comparisons.  Pairs pass
+   the length filter, the positional filter (the shared shingles from the common one on, in either
+   class, reach the overlap that the two sizes need) and the suffix filter.
 5. A pair is verified once, on the full sets, and the verified links give the components
    (``components``), by repeated steps of joins and grouped minima.
 
 The suffix filter cuts the hash range at 15 fixed pivots; a pair's overlap is at most the sum
 over the 16 parts of the smaller count.
 
-Every table between steps is stored in the shared folder.  Hot keys (shingles, classes) are
-joined apart.  Cases: null or wordless texts have an empty set and link with nothing; equal
+Every table between steps is stored in the shared folder.  Hot shingles and classes are joined
+apart (``join_hot_apart``); joins on hot leaders are left to Spark's splitting of skewed joins.  Cases: null or wordless texts have an empty set and link with nothing; equal
 texts link; a document without id takes part, but can't be the smallest id; rows that share an
 id are separate documents with that id.
 """
@@ -87,29 +89,20 @@ def _class_key(h: np.ndarray) -> int:
     return int(textbuf.mix(np.array([textbuf.mix(np.array([a + n]))[0] ^ b], np.uint64)).view(np.int64)[0])
 
 
-def sign(text: pa.Array) -> pa.Array:
+def sign(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
     """n, class key and first prefix of each text."""
-    n, keys, shown = [], [], []
-    for _, data, offsets in textbuf.chunks(text):
-        for h in shingle_sets(data, offsets):
-            n.append(len(h))
-            keys.append(_class_key(h) if len(h) else None)
-            shown.append(h[:len(h) - least_overlap(len(h)) + int(spare(len(h)))].view(np.int64))
-    return pa.StructArray.from_arrays(
-        [pa.array(n, pa.int64()), pa.array(keys, pa.int64()), _list_array(shown, pa.int64())], ["n", "cls", "shown"])
+    sets = shingle_sets(data, offsets)
+    shown = [h[:len(h) - least_overlap(len(h)) + int(spare(len(h)))].view(np.int64) for h in sets]
+    return [pa.array([len(h) for h in sets], pa.int64()),
+            pa.array([_class_key(h) if len(h) else None for h in sets], pa.int64()), _list_array(shown, pa.int64())]
 
 
-def full(text: pa.Array) -> pa.Array:
+def full(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
     """Class key, whole set and its counts in PARTS parts of the hash range."""
-    keys, sets, parts = [], [], []
-    for _, data, offsets in textbuf.chunks(text):
-        for h in shingle_sets(data, offsets):
-            keys.append(_class_key(h) if len(h) else None)
-            sets.append(h.view(np.int64))
-            parts.append(np.bincount((h >> np.uint64(60)).astype(np.int64), minlength=PARTS))
-    return pa.StructArray.from_arrays(
-        [pa.array(keys, pa.int64()), _list_array(sets, pa.int64()), _list_array(parts, pa.int32())],
-        ["cls", "shingles", "parts"])
+    sets = shingle_sets(data, offsets)
+    parts = [np.bincount((h >> np.uint64(60)).astype(np.int64), minlength=PARTS) for h in sets]
+    return [pa.array([_class_key(h) if len(h) else None for h in sets], pa.int64()),
+            _list_array([h.view(np.int64) for h in sets], pa.int64()), _list_array(parts, pa.int32())]
 
 
 def _least(n: Column) -> Column:
@@ -123,18 +116,20 @@ def _spare(n: Column) -> Column:
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of an edge (a, b): comp is the smallest node that it reaches.
 
-    Alternates the two star operations: each node hands its larger neighbours, then its
-    smaller ones, to its smallest neighbour, until nothing changes; about log(n) rounds.
+    Alternates the two star operations: each node hands its larger neighbours, then itself and its
+    smaller ones, to its smallest neighbour, until nothing changes; about log(n) rounds.  The result
+    of each round is stored.
     """
     def hand_on(pairs: DataFrame, smaller: bool) -> DataFrame:
-        least = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("c"))
-        joined = join_hot_apart(pairs, materialize(least, "least"), "u", "c", "inner")
-        moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).where(
-            F.lit(True) if smaller else F.col("v") > F.col("u"))
+        least = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        joined = pairs.join(least, "u")
+        moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b"), "u").where(
+            F.lit(True) if smaller else F.col("a") > F.col("u")).drop("u")
         if smaller:
-            moved = moved.unionByName(joined.select(F.col("u").alias("a"), F.col("m").alias("b")))
+            moved = moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
         return moved.where(F.col("a") != F.col("b")).distinct()
 
+    spark = edges.sparkSession
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     edges, path = materialize_at(edges, "edges")
     before = None
@@ -145,10 +140,11 @@ def components(edges: DataFrame) -> DataFrame:
                 edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
         before = state
         both = edges.selectExpr("a AS u", "b AS v").unionByName(edges.selectExpr("b AS u", "a AS v"))
-        large = materialize(hand_on(both, smaller=False), "large-star")
+        large, large_path = materialize_at(hand_on(both, smaller=False), "large-star")
         edges, new = materialize_at(
             hand_on(large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), smaller=True), "edges")
-        drop_path(edges.sparkSession, path)
+        drop_path(spark, path)
+        drop_path(spark, large_path)
         path = new
 
 
@@ -177,54 +173,62 @@ def _with_comp(rows: DataFrame, comps: DataFrame, key: str, name: str) -> DataFr
             .withColumn(name, F.coalesce("_c", key)).drop("_c"))
 
 
-def postings(reps: DataFrame) -> DataFrame:
-    """Rare-first postings (tok, cls, n, rest): ``rest`` is how many shown shingles follow."""
+def _overlap(n: Column, m: Column) -> Column:
+    """Shingles that sets of n and m have in common at least if they link: ceil(0.8 (n + m) / 1.8)."""
+    return F.ceil((n + m) * MIN_PERCENT / (100 + MIN_PERCENT)).cast("bigint")
+
+
+def candidates(reps: DataFrame) -> DataFrame:
+    """Classes (cls) with enough shown shingles that other classes show too.  ``reps`` is stored."""
     shown = reps.select("cls", "n", F.explode("shown").alias("tok"))
     shared = materialize(shown.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
+    common = join_hot_apart(shown, shared, "tok", "df", "inner").groupBy("cls", "n").agg(F.count(F.lit(1)).alias("c"))
+    return common.where(F.col("c") >= _spare(_least(F.col("n")))).select("cls")
+
+
+def postings(sets: DataFrame) -> DataFrame:
+    """Rare-first postings (tok, cls, n, rest): ``rest`` of the class's shared shingles stand from tok on."""
+    every = sets.select("cls", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("tok"))
+    shared = materialize(every.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
     # The hot join drops its count column, so the frequency travels twice.
-    counted = join_hot_apart(shown, shared.withColumn("freq", F.col("df")), "tok", "df", "inner")
-    need = _spare(_least(F.col("n")))
-    size = F.col("n") - _least(F.col("n")) + _spare(F.col("n"))
+    counted = join_hot_apart(every, shared.withColumn("freq", F.col("df")), "tok", "df", "inner")
     kept = (counted.groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("freq", "tok"))).alias("toks"))
-            .where(F.size("toks") >= need)
-            # Shingles that no other class shows are the rarest and come first.
-            .withColumn("_prefix", size - need + 1 - (size - F.size("toks"))))
-    return (kept.select("cls", "n", F.size("toks").alias("_m"),
-                        F.posexplode(F.slice("toks", F.lit(1), F.col("_prefix").cast("int"))).alias("_i", "_t"))
-            .select(F.col("_t.tok").alias("tok"), "cls", "n", (F.col("_m") - F.col("_i") - 1).alias("rest")))
-
-
-def find_links(posts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between classes that connect everything that all links connect.  Both tables are stored."""
-    lists = materialize(posts.groupBy("tok").agg(F.min("cls").alias("b"), F.count(F.lit(1)).alias("c"))
-                        .where("c > 1"), "leaders")
-    votes = (join_hot_apart(posts, lists, "tok", "c", "inner").where(F.col("cls") != F.col("b"))
-             .groupBy(F.col("cls").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes")))
-    votes = materialize(votes, "votes")
+            .withColumn("s", F.size("toks").cast("bigint")).where(F.col("s") >= _least(F.col("n"))))
+    first = F.slice("toks", F.lit(1), (F.col("s") - _least(F.col("n")) + 1).cast("int"))
+    return (kept.select("cls", "n", "s", F.posexplode(first).alias("_i", "_t"))
+            .select(F.col("_t.tok").alias("tok"), "cls", "n", (F.col("s") - F.col("_i")).alias("rest")))
+
+
+def find_components(posts: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, comp) of the classes that have links.  Both tables are stored."""
+    lists = posts.groupBy("tok").agg(F.min("cls").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    votes = materialize(posts.join(lists.drop("c"), "tok").where(F.col("cls") != F.col("b"))
+                        .groupBy(F.col("cls").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes")), "votes")
     first = votes.groupBy("a").agg(F.max_by("b", F.struct("votes", "b")).alias("b"))
     links = materialize(_linked(_may_link(first, sets), sets), "links")
     comps = materialize(components(links), "comps")
 
     others = _with_comp(_with_comp(votes.select("a", "b"), comps, "a", "_ca"), comps, "b", "_cb").where("_ca != _cb")
     more = materialize(_linked(_may_link(others, sets), sets), "links")
-    links = links.unionByName(more)
-    comps = materialize(components(links), "comps")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        comps = materialize(components(links), "comps")
 
     # Lists with several components: what is outside the main one meets the others.
-    placed = materialize(_with_comp(posts, comps, "cls", "comp"), "placed")
+    placed = _with_comp(posts, comps, "cls", "comp")
     mains = (placed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"))
-             .groupBy("tok").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("c"),
+             .groupBy("tok").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"),
                                  F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps"))
-    mixed = materialize(join_hot_apart(placed, materialize(mains, "mains"), "tok", "c", "inner"), "mixed")
+    mixed = materialize(placed.join(mains, "tok"), "mixed")
     x = mixed.where("comp != main").select("tok", *[F.col(c).alias(f"x_{c}") for c in ("cls", "n", "rest", "comp")])
-    need = F.least(_spare(F.col("x_n")), _spare(F.col("n")))
     pairs = (x.join(mixed, "tok")
              .where((F.col("x_comp") != F.col("comp"))
                     & ((F.col("comp") == F.col("main")) | (F.col("x_cls") < F.col("cls")))
                     & (F.least("x_n", "n") >= _least(F.greatest("x_n", "n")))
-                    & (F.least("x_rest", "rest") + 1 >= need))
+                    & (F.least("x_rest", "rest") >= _overlap(F.col("x_n"), F.col("n"))))
              .select(F.col("x_cls").alias("a"), F.col("cls").alias("b")))
-    return links.unionByName(_linked(_may_link(pairs, sets), sets))
+    last = materialize(_linked(_may_link(pairs, sets), sets), "links")
+    return comps if last.isEmpty() else components(links.unionByName(last))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -232,24 +236,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed, signed_path = materialize_at(
-        rows.select("doc_id", F.arrow_udf(sign, "struct<n:bigint,cls:bigint,shown:array<bigint>>")(F.col("text")).alias("s"))
-        .select("doc_id", "s.*"), "signed")
+        textbuf.map_texts(rows, "text", ["doc_id"], sign, "n bigint, cls bigint, shown array<bigint>"), "signed")
     members = materialize(signed.select("doc_id", "n", "cls"), "members")
     reps, reps_path = materialize_at(
         signed.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("shown").alias("shown")), "reps")
     drop_path(spark, signed_path)
     classes = materialize(members.where("n > 0").groupBy("cls")
                           .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("docs")), "classes")
-    posts = materialize(postings(reps), "postings")
+    wanted = materialize(candidates(reps).join(classes, "cls").select("cls", "rep"), "candidates")
     drop_path(spark, reps_path)
-
-    wanted = materialize(posts.select("cls").distinct().join(classes, "cls").select("cls", "rep"), "candidates")
-    sets = (bounded_semi_join(rows, wanted.select("rep"), "doc_id", "rep")
-            .select(F.arrow_udf(full, "struct<cls:bigint,shingles:array<bigint>,parts:array<int>>")(F.col("text")).alias("s"))
-            .select("s.*").join(wanted.select("cls"), "cls", "left_semi")
+    chosen = bounded_semi_join(rows, wanted.select("rep"), "doc_id", "rep")
+    sets = (textbuf.map_texts(chosen, "text", [], full, "cls bigint, shingles array<bigint>, parts array<int>")
+            .join(wanted.select("cls"), "cls", "left_semi")
             .groupBy("cls").agg(F.first("shingles").alias("shingles"), F.first("parts").alias("parts")))
-    links = materialize(find_links(posts, materialize(sets, "sets")), "links")
-    comps = materialize(components(links), "comps")
+    sets = materialize(sets, "sets")
+    comps = materialize(find_components(materialize(postings(sets), "postings"), sets), "comps")
 
     placed = classes.join(comps, classes["cls"] == comps["node"], "left").drop("node")
     smallest = placed.where("comp IS NOT NULL").groupBy("comp").agg(F.min("rep").alias("least"))
@@ -266,18 +267,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     document and have words, one stays.
     """
     found = materialize(near_duplicates(docs), "near-duplicates")
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    gone = materialize(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
     twice = materialize(found.where((F.col("n_shingles") > 0) & (F.col("doc_id") == F.col("component_id")))
                         .groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    wordy = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    stay = bounded_semi_join(docs, materialize(gone, "gone"), "doc_id", "doc_id", wanted=False, unless=~wordy)
-    if twice.isEmpty():
-        return stay
     columns = docs.columns
-    marked = stay.select(F.struct(*columns).alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"),
-                         wordy.alias("_wordy"))
-    single = bounded_semi_join(marked, twice, "_id", "doc_id", wanted=False, unless=~F.col("_wordy"))
-    again = bounded_semi_join(marked.where("_wordy"), twice, "_id", "doc_id")
-    first = (again.withColumn("_k", F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("_text"))))
-             .where("_k = 1").drop("_k"))
-    return single.unionByName(first).select(*[F.col("_row")[c].alias(c) for c in columns])
+    rows = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"),
+                       F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("_wordy"))
+    stay = bounded_semi_join(rows, gone, "_id", "doc_id", wanted=False, unless=~F.col("_wordy"))
+    if not twice.isEmpty():
+        single = bounded_semi_join(stay, twice, "_id", "doc_id", wanted=False, unless=~F.col("_wordy"))
+        again = bounded_semi_join(stay.where("_wordy"), twice, "_id", "doc_id")
+        first = (again.withColumn("_k", F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("_text"))))
+                 .where("_k = 1").drop("_k"))
+        stay = single.unionByName(first)
+    return stay.select(*[F.col("_row")[c].alias(c) for c in columns])

@@ -12,12 +12,13 @@ mixed; the hash of a word window is a polynomial over its word hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 1 << 20
 SPACES = b" \t\n\x0b\x0c\r"
@@ -149,3 +150,21 @@ def sums_by_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     total = np.zeros(len(flags) + 1, np.int64)
     np.cumsum(flags, out=total[1:])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def map_texts(df: DataFrame, text: str, kept: list[str], measure: Callable[[np.ndarray, np.ndarray], list[pa.Array]],
+              fields: str) -> DataFrame:
+    """Columns ``kept`` of ``df`` with ``fields``, which ``measure`` makes from the bytes and offsets of texts.
+
+    For results as large as the texts: they leave the task a chunk at a time.
+    """
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, data, offsets in chunks(batch.column(0)):
+                own = [c.slice(row, len(offsets) - 1) for c in batch.columns[1:]]
+                yield pa.RecordBatch.from_arrays([*own, *measure(data, offsets)], [*kept, *names])
+
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema] + [fields])
+    return df.select(text, *kept).mapInArrow(run, schema)
