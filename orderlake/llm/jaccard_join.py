@@ -24,8 +24,8 @@ Every link is found, none is expanded into copies:
 5. A pair is verified once, on the full sets, and the verified links give the components
    (``components``), by repeated steps of joins and grouped minima.
 
-The suffix filter cuts the hash range at 15 fixed pivots; a pair's overlap is at most the sum
-over the 16 parts of the smaller count.
+The suffix filter cuts the hash range at 63 fixed pivots; a pair's overlap is at most the sum
+over the 64 parts of the smaller count.
 
 Every table between steps is stored in the shared folder.  Hot shingles and classes are joined
 apart (``join_hot_apart``); joins on hot leaders are left to Spark's splitting of skewed joins.  Cases: null or wordless texts have an empty set and link with nothing; equal
@@ -46,7 +46,7 @@ from orderlake.llm.common import bounded_semi_join, join_hot_apart
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
-PARTS = 16
+PARTS = 64
 
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
@@ -100,7 +100,7 @@ def sign(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
 def full(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
     """Class key, whole set and its counts in PARTS parts of the hash range."""
     sets = shingle_sets(data, offsets)
-    parts = [np.bincount((h >> np.uint64(60)).astype(np.int64), minlength=PARTS) for h in sets]
+    parts = [np.bincount((h >> np.uint64(65 - PARTS.bit_length())).astype(np.int64), minlength=PARTS) for h in sets]
     return [pa.array([_class_key(h) if len(h) else None for h in sets], pa.int64()),
             _list_array([h.view(np.int64) for h in sets], pa.int64()), _list_array(parts, pa.int32())]
 
