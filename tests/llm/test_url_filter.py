@@ -84,3 +84,52 @@ def test_no_examples_empty_and_clashing_columns(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
     long = spark.createDataFrame([(1, "http://x.net/" + "a" * 100_000), (2, "http://x.org/"), (3, "http://x.com/de/")], SCHEMA)
     assert url_filter.judge(long.selectExpr("*", "'x' AS text", "'y' AS accepted")).count() == 3
+
+
+def plain_scores(examples, texts, order=url_filter.ORDER):
+    """From two whole models in plain Python, by examples (text, accepted) that aren't held out."""
+    models = []
+    for kind in (True, False):
+        counts = Counter()
+        for text, accepted in examples:
+            if accepted == kind:
+                s = "\x00" * order + url_filter._bytes(text)
+                for size in range(1, order + 2):
+                    counts.update(s[i - size + 1:i + 1] for i in range(order, len(s)))
+        models.append((url_filter.Markov.of(counts, order), len(counts)))
+    (a, _), (r, _) = models
+    return {t: (a.log_likelihood(url_filter._bytes(t)) - r.log_likelihood(url_filter._bytes(t))) / max(1, len(url_filter._bytes(t)))
+            for t in texts}, [n for _, n in models]
+
+
+def test_every_gram_counts_beyond_the_broadcast_bound(spark, monkeypatch):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789-_.~%&=+"
+
+    def name(n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    known = [f"http://x.org/{name(60)}" for _ in range(4000)]
+    pages = known + [f"http://x.com/de/{name(60)}" for _ in range(400)]
+    # Half of the undecided ones repeat stretches of accepted urls, which only their rare n-grams tell.
+    pages += [f"http://x.net/{k[20:60]}" for k in known[:100]] + [f"http://x.net/{name(40)}" for _ in range(100)]
+    pages += [f"http://x.net/{known[0][20:60]}"] * 50 + [None, "", "é"]
+    df = spark.createDataFrame(list(enumerate(pages)), SCHEMA).repartition(4)
+    host, path = url_filter.host_and_path(df["url"])
+    held = url_filter.F.pmod(url_filter.F.xxhash64("text"), url_filter.F.lit(url_filter.HELD_OUT)) == 0
+    text = df.select("page_id", url_filter.model_text(df["url"]).alias("text"), url_filter.matching_rule(host, path)[1].alias("accepted"))
+    examples = [(r.text, r.accepted) for r in text.where("accepted IS NOT NULL").where(~held).collect()]
+    undecided = {r.page_id: r.text for r in text.where("accepted IS NULL").collect()}
+    expected, sizes = plain_scores(examples, set(undecided.values()))
+    assert max(sizes) > 200_000
+
+    def judged():
+        return {r.page_id: (r.score, r.verdict) for r in url_filter.judge(df).collect()}
+
+    whole = judged()
+    assert len(whole) == len(pages) and {i for i, (s, _) in whole.items() if s is not None} == set(undecided)
+    for i, t in undecided.items():
+        assert whole[i][0] == pytest.approx(expected[t], abs=1e-9)
+    for bound in (300, 0):
+        monkeypatch.setattr(url_filter, "FAST_WINDOWS", bound)
+        assert judged() == whole
