@@ -231,8 +231,8 @@ def find_components(posts: DataFrame, sets: DataFrame) -> DataFrame:
     return comps if last.isEmpty() else components(links.unionByName(last))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``near_duplicates`` with the class (cls) of each document that has words, and its component (comp)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed, signed_path = materialize_at(
@@ -254,22 +254,41 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     placed = classes.join(comps, classes["cls"] == comps["node"], "left").drop("node")
     smallest = placed.where("comp IS NOT NULL").groupBy("comp").agg(F.min("rep").alias("least"))
-    placed = placed.join(smallest, "comp", "left").select("cls", "docs", F.coalesce("least", "rep").alias("component_id"))
+    placed = placed.join(smallest, "comp", "left").select("cls", "docs", F.coalesce("least", "rep").alias("component_id"),
+                                                         F.coalesce("comp", "cls").alias("comp"))
     found = join_hot_apart(members.where("n > 0"), materialize(placed, "placed"), "cls", "docs", "inner")
-    empty = members.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    return found.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    empty = members.where("n = 0").withColumns({"component_id": F.col("doc_id"), "comp": F.lit(None).cast("bigint")})
+    return found.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "cls", "comp")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    return _placed(docs, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def class_of(text: Column) -> Column:
+    """The class key of each text, null if it is wordless."""
+
+    def run(column: pa.Array) -> pa.Array:
+        sets = (h for _, data, offsets in textbuf.chunks(column) for h in shingle_sets(data, offsets))
+        return pa.array([_class_key(h) if len(h) else None for h in sets], pa.int64())
+
+    return F.arrow_udf(run, "bigint")(text)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one of each group of near copies (that with the smallest id), columns unchanged.
 
-    Wordless documents and documents without id stay; of rows that share the id of a kept
-    document and have words, one stays.
+    Wordless documents and documents without id stay.  Rows that share an id are told apart by their
+    class: a group keeps one row of one class that has its smallest id, whatever other texts have that id.
     """
-    found = materialize(near_duplicates(docs), "near-duplicates")
-    gone = materialize(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
-    twice = materialize(found.where((F.col("n_shingles") > 0) & (F.col("doc_id") == F.col("component_id")))
-                        .groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    found = materialize(_placed(docs, "doc_id", "text").where("n_shingles > 0 AND doc_id IS NOT NULL"), "near-duplicates")
+    chosen = materialize(found.where(F.col("doc_id") == F.col("component_id")).groupBy("comp")
+                         .agg(F.min("cls").alias("_cls"), F.min("doc_id").alias("_id")), "chosen")
+    gone = materialize(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+                       .join(chosen, F.col("doc_id") == F.col("_id"), "left_anti"), "gone")
+    twice = materialize(found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+                        .join(gone, "doc_id", "left_anti"), "repeated-ids")
     columns = docs.columns
     rows = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"),
                        F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("_wordy"))
@@ -277,7 +296,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     if not twice.isEmpty():
         single = bounded_semi_join(stay, twice, "_id", "doc_id", wanted=False, unless=~F.col("_wordy"))
         again = bounded_semi_join(stay.where("_wordy"), twice, "_id", "doc_id")
-        first = (again.withColumn("_k", F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("_text"))))
-                 .where("_k = 1").drop("_k"))
+        again = again.withColumn("_cls", class_of(F.col("_text")))
+        first = (again.withColumn("_k", F.row_number().over(Window.partitionBy("_id", "_cls").orderBy(F.xxhash64("_text"))))
+                 .where("_k = 1").join(chosen, ["_id", "_cls"], "left_semi").select(*stay.columns))
         stay = single.unionByName(first)
     return stay.select(*[F.col("_row")[c].alias(c) for c in columns])

@@ -105,6 +105,18 @@ def test_keep_one_of_rows_that_share_an_id(spark):
     assert [r[0] for r in rows(jaccard_join.keep_one(df).select("doc_id"))] == [1, 3, 3]
 
 
+def test_keep_one_tells_texts_of_one_id_apart(spark):
+    a, b, c, d = (prose(seed, 80) for seed in (11, 12, 13, 14))
+    data = [(1, a), (5, a + " more"), (5, b), (5, b), (6, b), (7, c), (7, d), (7, d + " more"), (8, c), (8, "x y z"), (None, a)]
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in data], DOC_SCHEMA)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(df).collect()]
+    with_d = [t for i, t in kept if i == 7 and t.startswith(d)]
+    # Each of the groups a, b, c, d and x keeps one document; d's two texts share the id, so either.
+    assert len(with_d) == 1
+    assert sorted((x for x in kept if x[1] not in with_d), key=repr) == sorted(
+        [(1, a), (5, b), (7, c), (8, "x y z"), (None, a)], key=repr)
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(2000, 2001), (2001, 2002)]
     random.Random(1).shuffle(edges)
