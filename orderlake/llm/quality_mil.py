@@ -6,8 +6,8 @@ layer.  Gated attention, softmax over the bag of w . (tanh(V h) * sigmoid(U h)),
 passages; the weighted mean is scored by a logistic unit.  Only documents have labels.
 
 Trained in numpy, a fixed number of Adam steps whatever the table's size, on a bounded sample
-(``SAMPLE`` labelled documents that aren't held out, at most ``TRAIN_PASSAGES`` evenly
-spaced passages of each).  Scoring takes every passage of every text.
+(``SAMPLE`` labelled documents that aren't held out).  Training and scoring take every passage of
+a text.
 
 Cases: a null or wordless text is a bag of one empty passage.  Without labels of both kinds
 every score is the share of label 1 (0.5 without any).
@@ -30,7 +30,6 @@ WORD_BUCKETS = 64
 HIDDEN = 24
 GATE = 12
 SAMPLE = 3000
-TRAIN_PASSAGES = 64
 STEPS = 1500
 BATCH = 64
 RATE = 0.003
@@ -142,20 +141,21 @@ def fit(sample: list[tuple[str, int]], seed: int = 7) -> Model:
     share = float(y.mean()) if len(y) else 0.5
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(0), np.zeros(0), {}, share)
-    bags = []
+    parts, bags = [], []
     for _, data, offsets in textbuf.chunks(pa.array([t for t, _ in sample], pa.string())):
         x, first = encode(data, offsets)
-        for a, b in zip(first[:-1], first[1:]):
-            at = np.unique(np.linspace(a, b - 1, min(b - a, TRAIN_PASSAGES)).astype(np.int64))
-            bags.append(x[at])
-    every = np.concatenate(bags)
+        parts.append(x)
+        bags += [x[a:b] for a, b in zip(first[:-1], first[1:])]
+    passages = sum(len(x) for x in parts)
+    mean = sum(x.sum(axis=0, dtype=np.float64) for x in parts) / passages
+    scale = np.sqrt(sum(((x - mean) ** 2).sum(axis=0) for x in parts) / passages) + 1e-3
     rng = np.random.default_rng(seed)
-    d = every.shape[1]
+    d = len(mean)
     p = {"w": rng.normal(0, d ** -0.5, (d, HIDDEN)), "b": np.zeros(HIDDEN),
          "v": rng.normal(0, HIDDEN ** -0.5, (HIDDEN, GATE)), "u": rng.normal(0, HIDDEN ** -0.5, (HIDDEN, GATE)),
          "a": rng.normal(0, GATE ** -0.5, GATE), "c": rng.normal(0, HIDDEN ** -0.5, HIDDEN),
          "d": np.array([np.log(share / (1 - share))])}
-    model = Model(every.mean(axis=0), every.std(axis=0) + 1e-3, p, share)
+    model = Model(mean.astype(np.float32), scale.astype(np.float32), p, share)
     adam = Adam(p, RATE)
     for step in range(STEPS):
         drawn = rng.choice(len(bags), min(BATCH, len(bags)), replace=False)

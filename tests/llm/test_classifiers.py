@@ -87,6 +87,24 @@ def test_toxicity_learns_words_and_stems_anywhere():
     assert s[0] >= 0.5 and (s[1:] < 0.5).all() and ((s >= 0) & (s <= 1)).all()
 
 
+def test_quality_learns_from_every_passage():
+    rng = np.random.default_rng(4)
+    passages = 200
+    # Where 64 evenly spaced passages of a text leave gaps.
+    gaps = np.setdiff1d(np.arange(passages), np.linspace(0, passages - 1, 64).astype(int))
+
+    def text(bad):
+        words = [[f"word{rng.integers(0, 300)}" for _ in range(quality_mil.PASSAGE_WORDS)] for _ in range(passages)]
+        for i in rng.choice(gaps, 20, replace=False):
+            words[i] = ["#|$"] * quality_mil.PASSAGE_WORDS if bad else words[i]
+        return " ".join(w for passage in words for w in passage)
+
+    data = [(text(i % 2 == 0), i % 2) for i in range(120)]
+    model = quality_mil.fit(data[:80])
+    s = scores(quality_mil, model, [t for t, _ in data[80:]])
+    assert np.mean((s >= 0.5) == np.array([y for _, y in data[80:]])) > 0.95
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 23, 24, 25, 36, 37, 100):
         data = " ".join(f"w{i}" for i in range(n)).encode()
