@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderlake.config import materialize
+
 HELD_OUT_EVERY = 5
 # A key with more than 1/HOT_SHARE of all rows is hot; there can be at most HOT_SHARE such keys.
 HOT_SHARE = 1000
@@ -71,6 +73,28 @@ def running_sum(df: DataFrame, group: str, order: str, value: str, out: str, tie
             .drop("_base", "_before", "_bucket"))
 
 
+def ranked(rows: DataFrame, group: list[str], order: list[str], out: str, count: str) -> DataFrame:
+    """Adds ``out``, the place in the group by ``order`` from 0, and ``count``, the group's rows.
+
+    ``group`` is never null, ``rows`` should be stored.  No task holds a group: rows are sorted by
+    range, rows that tie being dealt out by a salt, and stored; a group's rows in one partition are a run,
+    and a place is the rows of the group's earlier runs plus the place in the run.  Rows that tie are
+    placed in any order.
+    """
+    keys = [*group, *order, "_salt"]
+    place = (rows.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+             .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_salt")
+             .withColumn("_at", F.monotonically_increasing_id()))
+    stored = materialize(place, "ranked").withColumn("_part", F.shiftright("_at", 33))
+    runs = stored.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    by_group = Window.partitionBy(*group)
+    earlier = by_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = runs.select(*group, "_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_base"),
+                       F.sum("_rows").over(by_group).alias(count))
+    return (stored.join(base, [*group, "_part"]).withColumn(out, F.col("_at") + F.col("_base"))
+            .drop("_at", "_part", "_base"))
+
+
 def join_hot_apart(rows: DataFrame, side: DataFrame, key: str, count: str, how: str = "left") -> DataFrame:
     """Join many rows to one row per key, with hot keys' rows left where they are.
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orderlake.config import scratch_path
-from orderlake.llm import (decontamination, jaccard_join, langid, mixing, quality_mil, repetition, sharding, sql,
-                           toxicity, url_filter, warc)
+from orderlake.llm import (decontamination, jaccard_join, langid, manifest, mixing, quality_mil, repetition, sharding,
+                           sql, toxicity, url_filter, warc)
 from orderlake.llm.common import held_out, ship_package
 from orderlake.sources.tables import read_table
 
@@ -97,9 +97,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    rows = manifest.manifest(manifest.leaves_of(docs, changed=manifest.tampered(F.col("doc_id"))))
+    return (rows.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root",
+                        manifest.proof(F.col("path")).alias("proof_sha256"),
+                        manifest.fold(F.col("shown"), F.col("path")).alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_mix_sources, op2_url_lm_ratio, op3_kd_shards, op4_quality_mil, op5_suffix_repetition, op6_decontaminate,
-    op7_warc_revisits, op8_language_centroids, op9_toxicity_bigru, op10_jaccard_join)}
+    op7_warc_revisits, op8_language_centroids, op9_toxicity_bigru, op10_jaccard_join, op11_merkle_manifest)}
 
 
 def _shipping(query: Query) -> Query:

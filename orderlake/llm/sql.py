@@ -127,5 +127,60 @@ SELECT d.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(e.doc_id) AS com
 FROM d JOIN reach ON d.r = reach.x JOIN d e ON e.r = reach.y LEFT JOIN sizes ON sizes.r = d.r GROUP BY d.r, d.doc_id
 """
 
+
+
+def crc32(text: str) -> str:
+    """DuckDB's SQL for the unsigned crc32 of an ASCII text, bit by bit."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]::BIGINT[]))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), "
+            "lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)")
+
+
+def _merkle(tag: str, leaves: str) -> str:
+    """CTEs nodes, siblings and walks over ``leaves`` (r, g, i, n, digest, shown, proof)."""
+    return f"""
+nodes{tag}(g, level, i, n, digest) AS (
+  SELECT g, 0, i, n, digest FROM (SELECT DISTINCT g, i, n, digest FROM {leaves})
+  UNION ALL
+  SELECT g, level + 1, i // 16, any_value((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY i))
+  FROM nodes{tag} WHERE n > 1 GROUP BY g, level, i // 16
+), siblings{tag} AS (
+  SELECT a.g, a.level, a.i, coalesce(string_agg(b.digest, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+         coalesce(string_agg(b.digest, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM nodes{tag} a JOIN nodes{tag} b ON a.g = b.g AND a.level = b.level AND a.i // 16 = b.i // 16
+  WHERE a.n > 1 GROUP BY ALL
+), walks{tag}(r, g, level, i, n, shown, proof) AS (
+  SELECT r, g, 0, i, n, shown, proof FROM {leaves}
+  UNION ALL
+  SELECT w.r, w.g, w.level + 1, w.i // 16, (w.n + 15) // 16, sha256(s.before || w.shown || s.after), w.proof || s.before || s.after
+  FROM walks{tag} w JOIN siblings{tag} s ON w.g = s.g AND w.level = s.level AND w.i = s.i WHERE w.n > 1
+)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_META = " || ".join(_field(f) for f in ("doc_id", "source", "lang", "n_chars"))
+
+OP11 = f"""
+WITH RECURSIVE hashed AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS g, sha256({_META} || {_field("text")}) AS digest,
+         CASE WHEN {crc32("doc_id::VARCHAR")} % 5 = 0 THEN sha256({_META} || {_field(_LOWER)}) END AS other
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT *, coalesce(other, digest) AS shown, '' AS proof, count(*) OVER (PARTITION BY g) AS n,
+         row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, digest, coalesce(other, digest)) - 1 AS i FROM hashed
+), {_merkle("1", "leaves")}, subroots AS MATERIALIZED (
+  SELECT g AS source, digest, count(*) OVER () AS n, row_number() OVER (ORDER BY g) - 1 AS i FROM nodes1 WHERE n = 1
+), climbed AS MATERIALIZED (
+  SELECT w.r, '' AS g, s.i, s.n, s.digest, w.shown, w.proof FROM walks1 w JOIN subroots s ON w.g = s.source WHERE w.n = 1
+), {_merkle("2", "climbed")}
+SELECT l.doc_id, l.digest AS leaf, c.digest AS subroot, t.digest AS root, sha256(w.proof) AS proof_sha256,
+       w.shown AS folded_root, w.shown = t.digest AS verified
+FROM leaves l JOIN climbed c USING (r) JOIN walks2 w USING (r), nodes2 t WHERE w.n = 1 AND t.n = 1
+"""
+
 ORACLES = {"op1_mix_sources": OP1, "op5_suffix_repetition": OP5, "op6_decontaminate": OP6, "op7_warc_revisits": OP7,
-           "op10_jaccard_join": OP10}
+           "op10_jaccard_join": OP10, "op11_merkle_manifest": OP11}
