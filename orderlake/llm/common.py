@@ -73,9 +73,11 @@ def running_sum(df: DataFrame, group: str, order: str, value: str, out: str, tie
             .drop("_base", "_before", "_bucket"))
 
 
-def ranked(rows: DataFrame, group: list[str], order: list[str], out: str, count: str) -> DataFrame:
+def ranked(rows: DataFrame, group: list[str], order: list[str], out: str, count: str, at: str | None = None) -> DataFrame:
     """Adds ``out``, the place in the group by ``order`` from 0, and ``count``, the group's rows.
 
+    Also ``at``, if named: a number that grows along all groups, with gaps.
+
     ``group`` is never null, ``rows`` should be stored.  No task holds a group: rows are sorted by
     range, rows that tie being dealt out by a salt, and stored; a group's rows in one partition are a run,
     and a place is the rows of the group's earlier runs plus the place in the run.  Rows that tie are
@@ -92,7 +94,7 @@ def ranked(rows: DataFrame, group: list[str], order: list[str], out: str, count:
     base = runs.select(*group, "_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_base"),
                        F.sum("_rows").over(by_group).alias(count))
     return (stored.join(base, [*group, "_part"]).withColumn(out, F.col("_at") + F.col("_base"))
-            .drop("_at", "_part", "_base"))
+            .withColumnRenamed("_at", at or "_at").drop("_at", "_part", "_base"))
 
 
 def join_hot_apart(rows: DataFrame, side: DataFrame, key: str, count: str, how: str = "left") -> DataFrame:

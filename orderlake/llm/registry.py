@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orderlake.config import scratch_path
-from orderlake.llm import (decontamination, jaccard_join, langid, manifest, mixing, packing, quality_mil, repetition,
-                           sharding, sql, toxicity, url_filter, warc)
+from orderlake.llm import (decontamination, jaccard_join, langid, manifest, mixing, packing, prefix_trie, quality_mil,
+                           repetition, sharding, sql, toxicity, url_filter, warc)
 from orderlake.llm.common import held_out, ship_package
 from orderlake.sources.tables import read_table
 
@@ -113,10 +113,14 @@ def op12_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"), rebuild=True)
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_mix_sources, op2_url_lm_ratio, op3_kd_shards, op4_quality_mil, op5_suffix_repetition, op6_decontaminate,
     op7_warc_revisits, op8_language_centroids, op9_toxicity_bigru, op10_jaccard_join, op11_merkle_manifest,
-    op12_bm25_packing)}
+    op12_bm25_packing, op13_prefix_trie)}
 
 
 def _shipping(query: Query) -> Query:

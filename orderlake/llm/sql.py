@@ -182,5 +182,36 @@ SELECT l.doc_id, l.digest AS leaf, c.digest AS subroot, t.digest AS root, sha256
 FROM leaves l JOIN climbed c USING (r) JOIN walks2 w USING (r), nodes2 t WHERE w.n = 1 AND t.n = 1
 """
 
+OP13 = f"""
+WITH turns AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest, bytes) AS pos FROM (
+    SELECT conv_id AS c, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+           strlen(coalesce(text, ''))::BIGINT AS bytes FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, max(pos) AS len, {crc32("c::VARCHAR")} % 9 AS h FROM turns GROUP BY c
+), paths AS MATERIALIZED (
+  SELECT c, pos, bytes, sha256(string_agg(digest, '' ORDER BY pos) OVER (PARTITION BY c ORDER BY pos)) AS id FROM (
+    SELECT v.c, t.pos, t.digest, t.bytes FROM convs v JOIN turns t ON t.c = v.c - v.c % 5 WHERE t.pos <= v.h
+    UNION ALL
+    SELECT v.c, t.pos - v.h + least(v.h, coalesce(e.len, 0)), t.digest, t.bytes
+    FROM convs v JOIN turns t ON t.c = v.c LEFT JOIN convs e ON e.c = v.c - v.c % 5 WHERE t.pos > v.h)
+  UNION ALL SELECT c, 0, 0, 'root' FROM convs
+), steps AS (
+  SELECT *, lag(id) OVER (PARTITION BY c ORDER BY pos) AS parent, lead(id) OVER (PARTITION BY c ORDER BY pos) AS next FROM paths
+), nodes AS MATERIALIZED (
+  SELECT id, min(c) AS conv_id, any_value(pos)::BIGINT AS depth, any_value(parent) AS parent, count(*) AS n_convs,
+         any_value(bytes) AS bytes, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (next IS NULL), '')) AS ends_sha256
+  FROM steps GROUP BY id
+), children AS (
+  SELECT parent, count(*) AS n_children FROM nodes GROUP BY parent
+), below AS (
+  SELECT p.id, sum((v.n_convs - 1) * v.bytes)::BIGINT AS saved_tokens, count(*) FILTER (k.n_children IS NULL) AS n_leaves
+  FROM nodes v JOIN paths p ON p.c = v.conv_id AND p.pos <= v.depth LEFT JOIN children k ON k.parent = v.id GROUP BY p.id
+)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, b.n_leaves,
+       b.saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.id = n.id LEFT JOIN nodes m ON m.id = n.parent LEFT JOIN children k ON k.parent = n.id
+"""
+
 ORACLES = {"op1_mix_sources": OP1, "op5_suffix_repetition": OP5, "op6_decontaminate": OP6, "op7_warc_revisits": OP7,
-           "op10_jaccard_join": OP10, "op11_merkle_manifest": OP11}
+           "op10_jaccard_join": OP10, "op11_merkle_manifest": OP11, "op13_prefix_trie": OP13}
