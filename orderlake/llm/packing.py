@@ -26,6 +26,7 @@ share an id, or have none, are packed each; an empty table gives no pieces; extr
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,8 +46,14 @@ WINDOW = 2048
 END_ID = 1
 # Tokens of a shard: some 500 tails of medium length, a few megabytes of index.
 SHARD_TOKENS = 1 << 18
-# A range partition holds at most about so many shards (250 MB of ids).
-SHARDS_A_TASK = 512
+# A range partition holds at most about so many shards (8 MB of ids).
+SHARDS_A_TASK = 16
+# Beyond so many partitions they grow instead.
+MOST_TASKS = 100_000
+# Lower-case words of Latin-1 letters.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
+# Marks that the tokenizer parts from letters (an apostrophe may begin a suffix, so it is none).
+MARKS = b".,;:!?"
 # Words whose ids a task remembers; it forgets them all when there are more.
 REMEMBERED = 3 << 18
 # Texts are tokenized about so many bytes at a time.
@@ -69,6 +76,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # How byte-level tokens write bytes: printable Latin-1 as itself, the others from U+0100 on.
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        self.as_text = dict(zip([b for b in range(256) if b not in shown], range(256, 512)))
         self.size = max(self.tokenizer.get_vocab_size(), END_ID + 1)
         every = np.arange(self.size)
         self.rarity = [-np.log(_hash(every, seed)) for seed in (1, 2)]
@@ -79,38 +89,63 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.flat, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of lower-case words.
+
+        The tokenizer's rules leave a word of plain letters as it is, so the merges alone give its ids;
+        all other words go through the whole tokenizer.
+        """
+        plain = [PLAIN.fullmatch(w) is not None for w in words]
+        other = iter(self.tokenizer.encode_batch_fast([w for w, p in zip(words, plain) if not p], add_special_tokens=False))
+        merge = self.tokenizer.model.tokenize
+        return [[t.id for t in merge(w if w.isascii() else w.encode().decode("latin-1").translate(self.as_text))] if p
+                else next(other).ids for w, p in zip(words, plain)]
+
     def words(self, words: list[str]) -> np.ndarray:
         """The numbers of distinct words."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = [w for w in words if w not in self.known]
+        found = list(map(self.known.get, words))
+        new = [w for w, i in zip(words, found) if i is None]
         if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            ids = self.encode(new)
+            numbers = range(len(self.known), len(self.known) + len(new))
+            self.known.update(zip(new, numbers))
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())))
             self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(lengths))
-        return np.fromiter((self.known[w] for w in words), np.int64, len(words))
+            fresh = iter(numbers)
+            found = [next(fresh) if i is None else i for i in found]
+        return np.array(found, np.int64)
 
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a chunk's texts, each with END_ID behind, and their bounds."""
-        w = textbuf.words(data, offsets, textbuf.SPACE_WORDS_CASED)
+        w = textbuf.words(data, offsets)  # lower-cased as far as ASCII, as the tokenizer would
         n = len(offsets) - 1
-        letters = data[w.norm != 0]
-        bounds = np.concatenate(([0], np.cumsum(w.ends - w.starts)))
-        column = pa.LargeStringArray.from_buffers(len(w.starts), pa.py_buffer(bounds), pa.py_buffer(letters))
+        # The tokenizer parts letters from these marks too, so "word" and "word," share their ids.
+        cut = part(w.norm)
+        inside = w.norm != 0
+        first_byte = cut & inside
+        first_byte[w.starts] = True
+        starts = np.flatnonzero(first_byte)
+        letters = w.norm[inside]
+        letters[letters == 255] = 0  # byte 0 as it was
+        place = np.cumsum(inside) - inside
+        bounds = np.append(place[starts], len(letters)).astype(np.int64)
+        column = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(letters))
         distinct = column.dictionary_encode()
         numbers = self.words(distinct.dictionary.to_pylist())
         at = numbers[distinct.indices.to_numpy(zero_copy_only=False)]
         # Every text's words and then, as one more word, the end id.
         flat = np.append(self.flat, np.uint32(END_ID))
-        ends = w.first[1:] + np.arange(n)
+        ends = np.searchsorted(starts, offsets[1:]) + np.arange(n)
         own = np.ones(len(at) + n, bool)
         own[ends] = False
-        start, length = np.full(len(own), len(flat) - 1), np.ones(len(own), np.int64)
+        start, length = np.full(len(own), len(flat) - 1, np.int64), np.ones(len(own), np.int64)
         start[own], length[own] = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
         stop = np.cumsum(length)
-        out = flat[np.repeat(start - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
+        kind = np.int32 if len(stop) and max(stop[-1], len(flat)) < 1 << 31 else np.int64
+        out = flat[np.repeat((start - (stop - length)).astype(kind), length) + np.arange(stop[-1] if len(stop) else 0, dtype=kind)]
         return out, np.concatenate(([0], stop[ends]))
 
     def signature(self, terms: np.ndarray, counts: np.ndarray) -> tuple[int, int]:
@@ -124,6 +159,25 @@ def encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
+_LETTER, _MARK = 1, 2
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[97:123] = _LETTER
+_KINDS[np.frombuffer(MARKS, np.uint8)] = _MARK
+
+
+def part(norm: np.ndarray) -> np.ndarray:
+    """True for the bytes at which a mark follows a letter or a letter a mark (letters a-z and U+00C0 to U+00FF)."""
+    kinds = _KINDS[norm]
+    # Two-byte letters: 0xC3 and a second byte, but for the signs U+00D7 and U+00F7.
+    lead = np.flatnonzero(norm[:-1] == 0xC3)
+    lead = lead[(norm[lead + 1] != 0x97) & (norm[lead + 1] != 0xB7)]
+    kinds[lead] = kinds[lead + 1] = _LETTER
+    cut = np.zeros(len(norm), bool)
+    cut[1:] = kinds[1:] + kinds[:-1] == _LETTER + _MARK
+    cut[1:] &= (kinds[1:] != 0) & (kinds[:-1] != 0)
+    return cut
+
+
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -215,16 +269,14 @@ class Shard:
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float):
         self.tails = tails
-        terms, docs, weights = [], [], []
-        for d, ids in enumerate(tails):
-            t, tf = np.unique(ids, return_counts=True)
-            terms.append(t)
-            docs.append(np.full(len(t), d, np.int32))
-            weights.append(idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean)))
-        self.terms = terms
-        every = np.concatenate(terms)
+        found = [np.unique(ids, return_counts=True) for ids in tails]
+        self.terms = [t for t, _ in found]
+        every, tf = np.concatenate(self.terms), np.concatenate([n for _, n in found])
+        kinds = np.array([len(t) for t in self.terms])
+        length = np.repeat([len(ids) / mean for ids in tails], kinds)
+        weights = idf[every] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
         order = np.argsort(every, kind="stable")
-        self.docs, self.weights = np.concatenate(docs)[order], np.concatenate(weights)[order]
+        self.docs, self.weights = np.repeat(np.arange(len(tails)), kinds)[order], weights[order]
         self.bounds = np.searchsorted(every[order], np.arange(len(idf) + 1))
         self.unused = np.ones(len(tails), bool)
 
@@ -345,7 +397,8 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str
             yield done()
 
     order = ["s1", "s2", "salt"]
-    parts = max(1, -(-tokens // (shard_tokens * SHARDS_A_TASK)), min(count, spark.sparkContext.defaultParallelism))
+    parts = max(1, min(-(-tokens // (shard_tokens * SHARDS_A_TASK)), MOST_TASKS),
+                min(count, spark.sparkContext.defaultParallelism))
     packed = (tails.withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
               .repartitionByRange(int(parts), *order).sortWithinPartitions(*order)
               .select(key, "n", "start", "ids").mapInArrow(run, fields))
