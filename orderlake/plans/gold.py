@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.config import scratch_path
 from orderlake.functions.dates import parse_order_date
 from orderlake.operators import dims
 from orderlake.operators.fact import build_fact_sales
@@ -42,8 +43,11 @@ def declared_rules() -> list[tuple[Column, str]]:
     return [(condition, reason) for reason, condition in rules.items()]
 
 
-def split_valid(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows fit for gold, and the rest with a reason: NOT NULL keys, parsable date, declared lengths and domains."""
+VALID = "_valid"
+
+
+def _tagged(bronze: DataFrame) -> DataFrame:
+    """Bronze with ``_valid`` and the reason of the rows that aren't fit for gold."""
     reason = (
         F.when(F.col("order_id").isNull(), "null order_id")
         .when(F.col("customer_id").isNull(), "null customer_id")
@@ -52,10 +56,25 @@ def split_valid(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     for condition, text in declared_rules():
         reason = reason.when(condition, text)
-    tagged = bronze.withColumn("_reject", reason)
-    good = tagged.where(F.col("_reject").isNull()).drop("_reject")
-    bad = tagged.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reject_reason")
-    return good, bad
+    return bronze.withColumn("reject_reason", reason).withColumn(VALID, F.col("reject_reason").isNull())
+
+
+def split_valid(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows fit for gold, and the rest with a reason: NOT NULL keys, parsable date, declared lengths and domains."""
+    tagged = _tagged(bronze)
+    return tagged.where(VALID).drop(VALID, "reject_reason"), tagged.where(~F.col(VALID)).drop(VALID)
+
+
+def stored_valid(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``split_valid`` in one pass over bronze, whose two results are stored apart.
+
+    The rules read every declared column once; after that each table reads its own columns only.
+    """
+    tagged = _tagged(bronze)
+    path = scratch_path(bronze.sparkSession, "valid")
+    tagged.write.partitionBy(VALID).parquet(path)
+    rows = bronze.sparkSession.read.schema(tagged.schema).parquet(path)
+    return rows.where(VALID).drop(VALID, "reject_reason"), rows.where(~F.col(VALID)).drop(VALID)
 
 
 class StarSchema:
@@ -80,7 +99,6 @@ class StarSchema:
         """The table written once to the shared folder; its row count becomes known
         (observed by the write), which is what proves a broadcast small."""
         if name not in self.known_rows:
-            from orderlake.config import scratch_path
             from orderlake.plans.publish import write_table
 
             df = self[name]
@@ -92,15 +110,18 @@ class StarSchema:
 
 def star_schema(bronze: DataFrame, validate: bool = True, sort_dates: bool = False,
                 key_maps: dict[str, str] | None = None, fact_input: DataFrame | None = None,
-                dedupe: bool = True) -> StarSchema:
+                dedupe: bool = True, store: bool = True) -> StarSchema:
     """Lazy gold frames from bronze rows (SALES schema).
 
+    ``store`` validates bronze in one pass that stores its rows (``stored_valid``); without it, each
+    table tests the rules on its own scan, which pays for a single table only.
+
     ``key_maps`` (dim name -> path) makes region/payment ids stable across runs
     through persisted key maps; ``fact_input`` restricts the fact to some bronze
     rows (an incremental run's new batches) while dimensions see all of bronze.
     """
     if validate:
-        good, bad = split_valid(bronze)
+        good, bad = (stored_valid if store else split_valid)(bronze)
     else:
         good, bad = bronze, bronze.where(F.lit(False)).withColumn("reject_reason", F.lit(None).cast("string"))
     spark = bronze.sparkSession

@@ -5,16 +5,17 @@ Layout under a warehouse root (a shared folder):
 * ``tables/<name>/snapshot=<run_id>/`` — one snapshot per dimension and run (a
   retry of a run that wasn't published replaces its own folder);
 * ``tables/fact_sales/version=<run>-<id>/run_id=<part>/`` — the fact, one part per
-  run that brought the rows.  A publish writes its own part and new versions of the
-  older parts that lose rows to it, all into one new folder; nothing that readers
-  see is rewritten or deleted;
-* ``_manifest/`` — append-only (table, run_id, path, rows, seq, part) rows; the
-  current version of a dimension, or of a part of the fact, is its highest ``seq``.
-  One append re-points the dimensions and all parts of a publish together.
-
-An order has one row in the published fact: of all versions that any run brought,
-the one with the largest ordering tuple (``_best``, as the dimensions use), whatever
-the order in which runs arrive or are repeated.
+  run, with all orders that the run brought; nothing in it is ever rewritten;
+* ``tables/fact_sales/index``, ``…/deletes`` — which part has which order, and which
+  orders of a part aren't shown (``orderlake.plans.versions``);
+* ``_manifest/<number>.json`` — the commits (``orderlake.plans.commits``): pointers
+  (table, run_id, path, rows, seq, part).  What is current of a dimension, or of a part of
+  the fact, is its pointer of the highest commit.  One commit re-points the dimensions and
+  all parts of a publish together; of two publishers, the second merges again.
+
+An order has one row in the published fact: of the versions that the runs have now, the one with the
+largest ordering tuple (``_best``, as the dimensions use), whatever the order in which
+runs arrive or are repeated, and whatever a repeated run no longer brings.
 
 Every write observes its own row count (``DataFrame.observe``): one job per
 table instead of a count job plus a write job.
@@ -24,28 +25,23 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderlake.config import materialize
 from orderlake.functions.names import qualified_name
 from orderlake.operators.dedupe import BEST
-from orderlake.operators.keys import _exists
+from orderlake.plans import commits, versions
+from orderlake.plans.commits import Conflict
+from orderlake.plans.versions import Parts, deletes_of, index_of
 from orderlake.schemas import DIMENSIONS, FACTS, GOLD_TABLES
 from orderlake.sources import warehouse
 from orderlake.sources.warehouse import Connector
 
-MANIFEST_SCHEMA = StructType([
-    StructField("tbl", StringType(), False),
-    StructField("run_id", StringType(), False),
-    StructField("path", StringType(), False),
-    StructField("rows", LongType(), True),
-    StructField("seq", LongType(), False),
-    StructField("part", StringType(), True),  # of the fact: the run that brought the rows
-])
 RUN_COL = "run_id"
 log = logging.getLogger(__name__)
 
@@ -54,6 +50,7 @@ log = logging.getLogger(__name__)
 class Warehouse:
     root: str
     database: str | None = None  # when set, declared catalog tables are re-pointed too
+    index_buckets: int = 64      # hash buckets of the order index, for the life of the warehouse
 
     def table_dir(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
@@ -87,13 +84,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 # --------------------------------------------------------------------- manifest
 
 def manifest(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    if not _exists(spark, wh.manifest):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(wh.manifest)
+    return commits.pointers(spark, wh.manifest)
 
 
 def manifest_entries(spark: SparkSession, wh: Warehouse) -> list[tuple]:
-    """All pointer rows (tbl, run_id, path, rows, seq, part).
+    """All pointers (tbl, run_id, path, rows, seq, part).
 
     Metadata, not data: one row per table and changed part per publishing run, read
     once per publish and resolved on the driver.
@@ -101,6 +96,15 @@ def manifest_entries(spark: SparkSession, wh: Warehouse) -> list[tuple]:
     return [tuple(r) for r in manifest(spark, wh).collect()]
 
 
+def _latest(entries: list[tuple]) -> int:
+    """The last commit."""
+    return max((e[4] for e in entries), default=0)
+
+
+def manifest_version(spark: SparkSession, wh: Warehouse) -> int:
+    return _latest(manifest_entries(spark, wh))
+
+
 def _current(entries: list[tuple]) -> dict[str, tuple[str, str, int]]:
     best: dict[str, tuple] = {}
     for tbl, run_id, path, rows, seq, _ in entries:
@@ -109,21 +113,6 @@ def _current(entries: list[tuple]) -> dict[str, tuple[str, str, int]]:
     return {t: v[:3] for t, v in best.items()}
 
 
-def _parts(entries: list[tuple], name: str) -> dict[str, str]:
-    """part -> path of the fact's current parts (without emptied ones)."""
-    best: dict[str, tuple] = {}
-    for tbl, _, path, rows, seq, part in entries:
-        if tbl == name and (part not in best or seq > best[part][0]):
-            best[part] = (seq, path, rows)
-    return {part: path for part, (_, path, rows) in best.items() if rows}
-
-
-def _runs(entries: list[tuple], name: str) -> dict[str, int]:
-    """run -> rows that it brought, of the published runs of a fact table."""
-    return {part: rows for tbl, run_id, _, rows, _, part in sorted(entries, key=lambda e: -e[4])
-            if tbl == name and run_id == part}
-
-
 def current_versions(spark: SparkSession, wh: Warehouse) -> dict[str, tuple[str, str, int]]:
     """tbl -> (run_id, path, rows) of the published version."""
     return _current(manifest_entries(spark, wh))
@@ -131,40 +120,80 @@ def current_versions(spark: SparkSession, wh: Warehouse) -> dict[str, tuple[str,
 
 def published_runs(spark: SparkSession, wh: Warehouse, name: str) -> list[str]:
     """Runs of a fact table that passed publishing (bounded by the number of runs)."""
-    return sorted(_runs(manifest_entries(spark, wh), name))
+    return sorted({e[5] for e in manifest_entries(spark, wh) if e[0] == name})
+
+
+class Changes(list):
+    """Pointers (tbl, run_id, path, rows, part) to commit; part is None for a dimension.
 
+    ``base`` is the commit that they were worked out from.
+    """
+
+    def __init__(self, entries: list[tuple], base: int):
+        super().__init__(entries)
+        self.base = base
 
-def _point(spark: SparkSession, wh: Warehouse, entries: list[tuple]) -> None:
-    """Append (tbl, run_id, path, rows, part) pointers in one write; part is None for a dimension.
+
+def _point(spark: SparkSession, wh: Warehouse, entries: Changes) -> None:
+    """Commit the pointers as one; ``Conflict`` if there is a commit after their base.
 
     Pointing to what is current already is a no-op.
     """
     known = manifest_entries(spark, wh)
+    if _latest(known) != entries.base:
+        raise Conflict(f"{wh.root} has commits after {entries.base}")
     current = _current(known)
-    seq0 = max((e[4] for e in known), default=0)
     fresh = [e for e in entries if e[4] is not None or current.get(e[0], (None, None))[:2] != (e[1], e[2])]
-    new = [(t, r, p, n, seq0 + i + 1, part) for i, (t, r, p, n, part) in enumerate(fresh)]
-    if new:
-        spark.createDataFrame(new, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(wh.manifest)
-    known += new
-    for t in dict.fromkeys(e[0] for e in entries):
+    seq = entries.base + 1
+    if fresh:
+        commits.commit(spark, wh.manifest, seq, fresh)
+    known += [(t, r, p, n, seq, part) for t, r, p, n, part in fresh]
+    for t in dict.fromkeys(e[0] for e in entries if e[0] in GOLD_TABLES):
         qualified = qualified_name(t, wh.database) if wh.database else None
         if not (qualified and table_exists(spark, qualified)):
             open_table(spark, wh, t, known).createOrReplaceTempView(t)
-            continue
-        for _, _, path, rows, part in (e for e in entries if e[0] == t):
-            for statement in _swap(qualified, path, rows, part):
-                run_statement(spark, statement)
-        run_statement(spark, f"REFRESH TABLE {qualified}")
+        elif t in FACTS:
+            _point_declared_fact(spark, wh, t, qualified, known, {e[4] for e in entries if e[4] is not None})
+        else:
+            run_statement(spark, f"ALTER TABLE {qualified} SET LOCATION '{current_path(known, t)}'")
+            run_statement(spark, f"REFRESH TABLE {qualified}")
 
 
-def _swap(table: str, path: str, rows: int, part: str | None) -> list[str]:
-    """The declared table (or its partition of one run) now reads ``path``."""
-    if part is None:
-        return [f"ALTER TABLE {table} SET LOCATION '{path}'"]
-    partition = f"PARTITION ({RUN_COL} = '{part}')"
-    drop = f"ALTER TABLE {table} DROP IF EXISTS {partition}"
-    return [drop, f"ALTER TABLE {table} ADD {partition} LOCATION '{path}'"] if rows else [drop]
+def current_path(entries: list[tuple], name: str) -> str:
+    return _current(entries)[name][1]
+
+
+def _point_declared_fact(spark: SparkSession, wh: Warehouse, name: str, table: str, entries: list[tuple],
+                         changed: set[str]) -> None:
+    """The declared table's partitions of the changed parts now read their shown rows.
+
+    Catalog readers know nothing of delete files, so a part with hidden rows gets a copy without them.
+    """
+    parts = Parts.of(entries, name)
+    paths = {p: parts.data[p][0] for p in changed if p in parts.shown}
+    copied = sorted(p for p in paths if p in parts.deletes)
+    if copied:
+        folder = f"{wh.table_dir(name)}/shown={uuid.uuid4().hex[:8]}"
+        (read_fact_parts(spark, wh, parts, copied, name).sortWithinPartitions(RUN_COL, "date_key", "order_id")
+         .write.partitionBy(RUN_COL).parquet(folder))
+        paths |= {p: f"{folder}/{RUN_COL}={p}" for p in copied}
+    for p in sorted(changed):
+        partition = f"PARTITION ({RUN_COL} = '{p}')"
+        run_statement(spark, f"ALTER TABLE {table} DROP IF EXISTS {partition}")
+        if p in paths:
+            run_statement(spark, f"ALTER TABLE {table} ADD {partition} LOCATION '{paths[p]}'")
+    run_statement(spark, f"REFRESH TABLE {table}")
+
+
+def _publish(spark: SparkSession, wh: Warehouse, merge: Callable[[], Changes]) -> Changes:
+    """Merge and commit; after losing to another publisher, merge again with what it published."""
+    while True:
+        changes = merge()
+        try:
+            _point(spark, wh, changes)
+            return changes
+        except Conflict as lost:
+            log.info("%s: merging again", lost)
 
 
 def run_statement(spark: SparkSession, sql: str) -> DataFrame:
@@ -182,13 +211,14 @@ def open_table(spark: SparkSession, wh: Warehouse, name: str, entries: list[tupl
     entries = manifest_entries(spark, wh) if entries is None else entries
     cols = GOLD_TABLES[name].column_names
     if name in FACTS:
-        if not _runs(entries, name):
+        parts = Parts.of(entries, name)
+        if not any(e[0] == name for e in entries):
             raise KeyError(f"{name} has not been published under {wh.root}")
-        return read_fact_parts(spark, wh, _parts(entries, name), name).select(*cols)
-    versions = _current(entries)
-    if name not in versions:
+        return read_fact_parts(spark, wh, parts, parts.shown, name).select(*cols)
+    current = _current(entries)
+    if name not in current:
         raise KeyError(f"{name} has not been published under {wh.root}")
-    return spark.read.parquet(versions[name][1]).select(*cols)
+    return spark.read.parquet(current[name][1]).select(*cols)
 
 
 def read_current_snapshot(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame | None:
@@ -209,7 +239,7 @@ def stage_dimension(wh: Warehouse, name: str, df: DataFrame, run_id: str) -> tup
 def load_dimension(spark: SparkSession, wh: Warehouse, name: str, df: DataFrame, run_id: str) -> int:
     """Stage the snapshot, then swap the pointer (first publish simply creates it)."""
     path, rows = stage_dimension(wh, name, df, run_id)
-    _point(spark, wh, [(name, run_id, path, rows, None)])
+    _publish(spark, wh, lambda: Changes([(name, run_id, path, rows, None)], manifest_version(spark, wh)))
     return rows
 
 
@@ -217,10 +247,17 @@ def load_dimension(spark: SparkSession, wh: Warehouse, name: str, df: DataFrame,
 
 def load_fact(spark: SparkSession, wh: Warehouse, fact: DataFrame, run_id: str,
               name: str = "fact_sales") -> int:
-    """Publish this run's fact rows; a replay replaces what the run brought before."""
-    entries = merge_fact(spark, wh, stage_fact(fact, name), run_id, name)
-    _point(spark, wh, entries)
-    return next(e[3] for e in entries if e[4] == run_id)
+    """Publish this run's fact rows; a replay replaces what the run brought before.
+
+    Returns how many of the run's rows are shown.
+    """
+    staged = stage_fact(fact, name)
+    changes = _publish(spark, wh, lambda: merge_fact(spark, wh, staged, run_id, name))
+    return _shown_rows(changes, name, run_id)
+
+
+def _shown_rows(changes: list[tuple], name: str, run_id: str) -> int:
+    return Parts.of([(*e[:4], 0, e[4]) for e in changes], name).live(run_id)
 
 
 def stage_fact(fact: DataFrame, name: str = "fact_sales") -> DataFrame:
@@ -235,64 +272,62 @@ def stage_fact(fact: DataFrame, name: str = "fact_sales") -> DataFrame:
     return materialize(fact.select(*cols, BEST), "staged-fact")
 
 
-def read_fact_parts(spark: SparkSession, wh: Warehouse, parts: dict[str, str], name: str = "fact_sales",
-                    state: StructType | None = None) -> DataFrame:
-    """The rows of some parts with ``run_id`` (their part), and ``_best`` if its type is given."""
+def _fact_files(spark: SparkSession, wh: Warehouse, paths: list[str], name: str, state: StructType | None = None) -> DataFrame:
+    """The rows in some parts' files, with ``run_id`` (their part) and, if its type is given, ``_best``."""
     fields = [*GOLD_TABLES[name].schema.fields, *([StructField(BEST, state, True)] if state else []),
               StructField(RUN_COL, StringType(), True)]
-    if not parts:
+    if not paths:
         return spark.createDataFrame([], StructType(fields))
     return (spark.read.schema(StructType(fields)).option("basePath", wh.table_dir(name))
-            .parquet(*parts.values()).select(*[f.name for f in fields]))
+            .parquet(*paths).select(*[f.name for f in fields]))
 
 
-def merge_fact(spark: SparkSession, wh: Warehouse, staged: DataFrame, run_id: str,
-               name: str = "fact_sales") -> list[tuple]:
-    """Write the parts that this run changes; returns their manifest entries.
+def read_fact_parts(spark: SparkSession, wh: Warehouse, parts: Parts, names: list[str], name: str = "fact_sales") -> DataFrame:
+    """The shown rows of some parts, with ``run_id``.  Only parts with hidden rows meet their delete files."""
+    hiding = [p for p in names if p in parts.deletes]
+    clean = _fact_files(spark, wh, [parts.data[p][0] for p in names if p not in parts.deletes], name)
+    if not hiding:
+        return clean
+    hidden = versions.read_deletes(spark, wh.table_dir(deletes_of(name)), {p: parts.deletes[p] for p in hiding})
+    rest = _fact_files(spark, wh, [parts.data[p][0] for p in hiding], name).join(hidden, ["order_id", RUN_COL], "left_anti")
+    return rest if len(hiding) == len(names) else clean.unionByName(rest)
 
-    1. orders of the run that other parts hold are found by order_id alone (a pruned scan);
-    2. only in the parts that were hit are the versions compared.  The run's rows that lose
-       are left out, the older rows that lose go from a new version of their part.
-    """
-    others = {p: path for p, path in _parts(manifest_entries(spark, wh), name).items() if p != run_id}
+
+def merge_fact(spark: SparkSession, wh: Warehouse, staged: DataFrame, run_id: str,
+               name: str = "fact_sales") -> Changes:
+    """Write the run's part, its index and the delete files that change; returns the pointers to them."""
+    entries = manifest_entries(spark, wh)
+    parts = Parts.of(entries, name)
+    table, index = wh.table_dir(name), wh.table_dir(index_of(name))
     state = staged.schema[BEST].dataType
-    table = wh.table_dir(name)
-    mine = staged.withColumn(RUN_COL, F.lit(run_id))
-    written, hit = mine, []
-    if others:
-        shared = materialize(read_fact_parts(spark, wh, others, name).select("order_id", RUN_COL)
-                             .join(staged.select("order_id"), "order_id"), "shared-orders")
-        hit = [r[0] for r in shared.select(RUN_COL).distinct().collect()]  # at most one value per run
-    if hit:
-        older = read_fact_parts(spark, wh, {p: others[p] for p in hit}, name, state)
-        pairs = materialize(
-            older.join(shared, ["order_id", RUN_COL], "left_semi").select("order_id", RUN_COL, BEST)
-            .join(staged.select("order_id", F.col(BEST).alias("_mine")), "order_id")
-            .select("order_id", RUN_COL, (F.col(BEST) < F.col("_mine")).alias("_older_loses")), "versions")
-        losing = pairs.where("_older_loses").select("order_id", RUN_COL)
-        hit = [r[0] for r in losing.select(RUN_COL).distinct().collect()]
-        kept = older.where(F.col(RUN_COL).isin(hit)).join(losing, ["order_id", RUN_COL], "left_anti")
-        winners = mine.join(pairs.where("NOT _older_loses").select("order_id"), "order_id", "left_anti")
-        written = winners.unionByName(kept)
+
+    def read_parts(names: list[str]) -> DataFrame:
+        return _fact_files(spark, wh, [parts.data[p][0] for p in names], name, state).select("order_id", RUN_COL, BEST)
+
+    settled = versions.settle(spark, staged, run_id, parts, index, wh.table_dir(deletes_of(name)), read_parts,
+                              wh.index_buckets, BEST)
     # Sorted by date within each file: Parquet min/max statistics then let
     # date-range reports skip row groups (a local sort, no extra shuffle).
     folder = f"{table}/version={run_id}-{uuid.uuid4().hex[:8]}"
-    (written.sortWithinPartitions(RUN_COL, "date_key", "order_id").write.partitionBy(RUN_COL).parquet(folder))
-    paths = {p: f"{folder}/{RUN_COL}={p}" for p in [run_id, *hit]}
-    present = {p: path for p, path in paths.items() if _exists(spark, path)}
-    rows = {r[RUN_COL]: r["count"] for r in read_fact_parts(spark, wh, present, name).groupBy(RUN_COL).count().collect()}
-    log.info("fact %s: run %s brought %d rows, %d older parts changed", name, run_id, rows.get(run_id, 0), len(hit))
-    return [(name, run_id, path, rows.get(p, 0), p) for p, path in paths.items()]
+    rows = write_table(staged.withColumn(RUN_COL, F.lit(run_id)).sortWithinPartitions("date_key", "order_id"), folder,
+                       partition_by=[RUN_COL])
+    of_run = versions.write_index(staged, index, run_id, wh.index_buckets) if rows else index
+    log.info("fact %s: run %s brought %d rows, %d delete files changed", name, run_id, rows, len(settled.deletes))
+    return Changes([(name, run_id, f"{folder}/{RUN_COL}={run_id}", rows, run_id),
+                    (index_of(name), run_id, of_run, rows, run_id),
+                    *[(deletes_of(name), run_id, path, n, p) for p, (path, n) in settled.deletes.items()]], _latest(entries))
 
 
 # --------------------------------------------------------------------- all
 
 def load_all(spark: SparkSession, wh: Warehouse, tables: dict[str, DataFrame], run_id: str,
-             gate=None) -> dict[str, int]:
+             gate=None, base: int | None = None) -> dict[str, int]:
     """Stage every dimension and the fact, run the gate, then re-point them together.
 
     When ``gate`` (a callable returning failing check rows) reports failures, no pointer
-    moves.  A run that is published already changes nothing.
+    moves.  A run that is published already changes nothing.  ``base`` is the commit whose tables
+    ``tables`` were made from: if another publisher commits after it, ``Conflict`` is raised and
+    they must be made again.  Without it, the tables replace whatever is published.
     """
     known = manifest_entries(spark, wh)
     current = _current(known)
@@ -303,19 +338,36 @@ def load_all(spark: SparkSession, wh: Warehouse, tables: dict[str, DataFrame], r
             staged[n] = (done[1], done[2])
         else:
             staged[n] = stage_dimension(wh, n, tables[n], run_id)
-    done_rows = {n: _runs(known, n)[run_id] for n in tables if n in FACTS and run_id in _runs(known, n)}
-    facts = {n: stage_fact(tables[n], n) for n in tables if n in FACTS and n not in done_rows}
+    published = {n: Parts.of(known, n) for n in tables if n in FACTS and any(e[0] == n and e[5] == run_id for e in known)}
+    facts = {n: stage_fact(tables[n], n) for n in tables if n in FACTS and n not in published}
     if gate is not None:
         failures = gate({n: spark.read.parquet(p) for n, (p, _) in staged.items()},
                         {n: df.drop(BEST) for n, df in facts.items()}, {n: r for n, (_, r) in staged.items()})
         if failures:
             raise ValueError(f"quality gate failed, nothing published: {failures}")
-    entries = [(n, run_id, p, r, None) for n, (p, r) in staged.items()]
-    for n, df in facts.items():
-        entries += merge_fact(spark, wh, df, run_id, n)
-    _point(spark, wh, entries)
-    fact_rows = {n: next(e[3] for e in entries if e[0] == n and e[4] == run_id) for n in facts}
-    return {**{n: r for n, (_, r) in staged.items()}, **done_rows, **fact_rows}
+
+    def merge() -> Changes:
+        changes = Changes([(n, run_id, p, r, None) for n, (p, r) in staged.items()],
+                          manifest_version(spark, wh) if base is None else base)
+        for n, df in facts.items():
+            merged = merge_fact(spark, wh, df, run_id, n)
+            changes += merged
+            changes.base = merged.base if base is None else base
+        return changes
+
+    if base is None:
+        changes = _publish(spark, wh, merge)
+    else:
+        changes = merge()
+        _point(spark, wh, changes)
+    for n in published:  # a crash may have come between the commit and the catalog
+        table = qualified_name(n, wh.database) if wh.database else None
+        if table and table_exists(spark, table):
+            entries = manifest_entries(spark, wh)
+            _point_declared_fact(spark, wh, n, table, entries, {
+                e[5] for e in entries if e[1] == run_id and e[0] in (n, deletes_of(n))})
+    return {**{n: r for n, (_, r) in staged.items()}, **{n: p.live(run_id) for n, p in published.items()},
+            **{n: _shown_rows(changes, n, run_id) for n in facts}}
 
 
 def publish_to_connector(spark: SparkSession, wh: Warehouse, conn: Connector, prefix: str = "",

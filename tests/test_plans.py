@@ -96,3 +96,58 @@ def test_reports_never_shuffle_the_fact_to_meet_a_dimension(spark):
     assert q3.count("BroadcastHashJoin") >= 4  # 2 fact lookups + date + product
     # Q4: the fact is aggregated on payment_id before it meets dim_payment.
     assert re.search(r"HashAggregate\(keys=\[payment_id", q4)
+
+
+def test_dimensions_read_their_own_columns_of_the_valid_rows(spark):
+    star = star_schema(sales_projection(spark, SF_SMALL))
+    for name, columns in {"dim_date": {"order_date"}, "dim_product": {"product_id", "order_date", "order_id", "category"}}.items():
+        schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", _formatted(star[name]))
+        assert [set(re.findall(r"(\w+):", s)) for s in schemas] == [columns]
+
+
+def test_references_are_checked_in_one_pass_without_a_shuffle_of_the_fact(spark):
+    from orderlake.operators.quality import foreign_keys
+
+    star = star_schema(sales_projection(spark, SF_SMALL))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fact = materialize(star["fact_sales"], "fact")
+        plan = _plan(foreign_keys("fact_sales", fact, star.tables))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("BroadcastHashJoin") == 5 and "hashpartitioning" not in plan and "Generate" in plan
+    assert len(re.findall(r"FileScan parquet \[customer_id", plan)) == 1
+
+
+def test_references_beyond_the_broadcast_bound(spark, monkeypatch):
+    from orderlake.operators import quality
+
+    star = star_schema(sales_projection(spark, SF_SMALL))
+    fact = star["fact_sales"].withColumn("product_id", F.when(F.col("quantity") > 40, F.lit("none")).otherwise(F.col("product_id")))
+    small = sorted(tuple(r) for r in quality.foreign_keys("fact_sales", fact, star.tables).collect())
+    monkeypatch.setattr(quality, "BROADCAST_MAX_ROWS", 0)
+    assert sorted(tuple(r) for r in quality.foreign_keys("fact_sales", fact, star.tables).collect()) == small
+
+
+def test_a_publish_opens_the_index_buckets_of_its_orders_only(spark, monkeypatch):
+    from orderlake.plans import publish, versions
+
+    star = star_schema(sales_projection(spark, SF_SMALL))
+    wh = Warehouse(scratch_path(spark, "wh-index"))
+    fact = materialize(star["fact_sales"], "fact")
+    load_fact(spark, wh, fact, "r1")
+    pair = fact.where(F.col("order_id").isin([r[0] for r in fact.select("order_id").orderBy("order_id").limit(2).collect()]))
+    seen, real = [], versions.read_index
+
+    def watched(spark_, base, index, buckets=None):
+        rows = real(spark_, base, index, buckets)
+        seen.append((buckets, rows))
+        return rows
+
+    monkeypatch.setattr(versions, "read_index", watched)
+    load_fact(spark, wh, pair.withColumn("quantity", F.lit(999)), "r2")
+    (buckets, rows), = seen
+    assert 1 <= len(buckets) <= 2 < wh.index_buckets
+    assert re.search(r"PartitionFilters: \[.*bucket", _formatted(rows))
+    assert {r[0] for r in rows.select("bucket").distinct().collect()} == set(buckets)
+    assert publish.open_table(spark, wh, "fact_sales").where("quantity = 999").count() == 2
