@@ -16,12 +16,19 @@ Every link is found, none is expanded into copies:
    These are the postings.
 4. A posting list is not paired off.  Every class is compared to the one leader (smallest
    class) that most of its lists have, then to its other leaders where they are in another
-   component by then.  What is left are lists with several components: the classes outside a
-   list's main component are compared to the list's classes in other components.  Two classes of one
-   component need no comparison, so a group of m near copies costs about m comparisons.  Pairs pass
-   the length filter, the positional filter (the shared shingles from the common one on, in either
-   class, reach the overlap that the two sizes need) and the suffix filter.
-5. A pair is verified once, on the full sets, and the verified links give the components
+   component by then.  Two classes of one component need no comparison, so a group of m near copies
+   costs about m comparisons.  What is left are lists with several components.
+5. Classes near such a list's leader (similarity 0.4 or more) are joined by how they differ from it
+   (``recentred``).  Two sets differ in |x + y - 2 xy| shingles, and so do their differences from the
+   leader, so they link if their differences have enough in common: at least half of what both
+   differences together exceed (n + m) / 9 by.  That is a prefix filter once more, on the
+   differences, which are much smaller and rarer than the sets: copies that were edited
+   apart, each on its own, meet nowhere.  Pairs that need nothing in common all link to the class
+   with the most room, which stands for them.
+6. Other classes of a list, outside its main component, are compared to the list's classes in other
+   components.  All pairs pass the length filter, the positional filter (the shared shingles from
+   the common one on, in either class, reach the overlap that the two sizes need) and the suffix filter.
+7. A pair is verified once, on the full sets, and the verified links give the components
    (``components``), by repeated steps of joins and grouped minima.
 
 The suffix filter cuts the hash range at 63 fixed pivots; a pair's overlap is at most the sum
@@ -47,6 +54,8 @@ from orderlake.llm.common import bounded_semi_join, join_hot_apart
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
 PARTS = 64
+# A class is near a leader if their sets differ in at most NEAR[0] / NEAR[1] of both sizes (similarity 0.4).
+NEAR = 3, 7
 
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
@@ -214,23 +223,79 @@ def find_components(posts: DataFrame, sets: DataFrame) -> DataFrame:
         links = links.unionByName(more)
         comps = materialize(components(links), "comps")
 
-    # Lists with several components: what is outside the main one meets the others.
+    # Lists with several components.
     placed = _with_comp(posts, comps, "cls", "comp")
-    mains = (placed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"))
-             .groupBy("tok").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"),
+    mains = (placed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("lead"))
+             .groupBy("tok").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.min("lead").alias("lead"),
                                  F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps"))
-    mixed = materialize(placed.join(mains, "tok"), "mixed")
-    x = mixed.where("comp != main").select("tok", *[F.col(c).alias(f"x_{c}") for c in ("cls", "n", "rest", "comp")])
-    pairs = (x.join(mixed, "tok")
+    mixed = materialize(placed.join(mains, "tok").where("cls != lead"), "mixed")  # all leaders are compared
+    near = recentred(mixed.select("lead", "cls", "comp").distinct(), sets)
+    around = near_pairs(near)
+    # Elsewhere, what is outside the main component meets the others.
+    marked = materialize(mixed.join(near.select("lead", "cls", F.lit(True).alias("near")), ["lead", "cls"], "left"), "marked")
+    x = marked.where("comp != main").select("tok", *[F.col(c).alias(f"x_{c}") for c in ("cls", "n", "rest", "comp", "near")])
+    apart = (x.join(marked, "tok")
              .where((F.col("x_comp") != F.col("comp"))
+                    & (F.col("x_near").isNull() | F.col("near").isNull())
                     & ((F.col("comp") == F.col("main")) | (F.col("x_cls") < F.col("cls")))
                     & (F.least("x_n", "n") >= _least(F.greatest("x_n", "n")))
                     & (F.least("x_rest", "rest") >= _overlap(F.col("x_n"), F.col("n"))))
              .select(F.col("x_cls").alias("a"), F.col("cls").alias("b")))
-    last = materialize(_linked(_may_link(pairs, sets), sets), "links")
+    last = materialize(_linked(_may_link(around.unionByName(apart), sets), sets), "links")
     return comps if last.isEmpty() else components(links.unionByName(last))
 
 
+def recentred(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Stored: lead, cls, comp, n and ``diff``, the shingles that one of the two has, of classes near their leader.
+
+    ``room``: n - 9 |diff|.  Two classes of a leader differ in at most (n + m) / 9 shingles, that is, they
+    link, if their differences have -(room + room') / 18 shingles in common.
+    """
+    x = sets.select("cls", F.size("shingles").cast("bigint").alias("n"), F.col("shingles").alias("_x"))
+    y = sets.select(F.col("cls").alias("lead"), F.col("shingles").alias("_y"))
+    met = members.join(x, "cls").join(y, "lead").withColumn(
+        "diff", F.concat(F.array_except("_x", "_y"), F.array_except("_y", "_x")))
+    d = F.size("diff")
+    return materialize(met.where(d * NEAR[1] <= (F.size("_x") + F.size("_y")) * NEAR[0])
+                       .select("lead", "cls", "comp", "n", "diff", (F.col("n") - d * 9).alias("room")), "recentred")
+
+
+def _needed(room: Column, other: Column) -> Column:
+    """Shingles that the differences of two classes have in common at least if they link, and one."""
+    return F.greatest(F.lit(1), F.ceil(-(room + other) / 18)).cast("bigint")
+
+
+def near_pairs(near: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes near a leader, in different components, that may link."""
+    leads = materialize(near.groupBy("lead").agg(F.max(F.struct("room", "cls", "comp")).alias("best"),
+                                                 F.count(F.lit(1)).alias("members")), "leads")
+    seen = materialize(join_hot_apart(near.select("lead", "cls", "comp", "n", "room"), leads, "lead", "members", "inner"),
+                       "near-leads")
+    # Whoever needs nothing in common with someone needs nothing in common with the class that has most room.
+    roomy = (seen.where((F.col("room") + F.col("best.room") >= 0) & (F.col("comp") != F.col("best.comp")))
+             .select(F.col("cls").alias("a"), F.col("best.cls").alias("b")))
+
+    # A list per leader and shingle; a hash collision would only make a list longer.
+    every = near.select("lead", "cls", F.explode("diff").alias("tok")).withColumn("key", F.xxhash64("lead", "tok"))
+    shared = materialize(every.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
+    counted = join_hot_apart(every.select("lead", "cls", "key"), shared.withColumn("freq", F.col("df")), "key", "df", "inner")
+    toks = (counted.groupBy("lead", "cls").agg(F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("toks"))
+            .join(seen, ["lead", "cls"])
+            .withColumn("least", _needed(F.col("room"), F.col("best.room"))).withColumn("s", F.size("toks").cast("bigint"))
+            .where("s >= least"))
+    first = F.slice("toks", F.lit(1), (F.col("s") - F.col("least") + 1).cast("int"))
+    posts = materialize(toks.select("cls", "comp", "n", "room", "s", F.posexplode(first).alias("_i", "_t"))
+                        .select(F.col("_t.key").alias("key"), "cls", "comp", "n", "room", (F.col("s") - F.col("_i")).alias("rest")),
+                        "near-postings")
+    x = posts.select("key", *[F.col(c).alias(f"x_{c}") for c in ("cls", "comp", "n", "room", "rest")])
+    joined = (x.join(posts, "key")
+              .where((F.col("x_cls") < F.col("cls")) & (F.col("x_comp") != F.col("comp"))
+                     & (F.least("x_n", "n") >= _least(F.greatest("x_n", "n")))
+                     & (F.least("x_rest", "rest") >= _needed(F.col("x_room"), F.col("room"))))
+              .select(F.col("x_cls").alias("a"), F.col("cls").alias("b")))
+    return roomy.unionByName(joined)
+
+
 def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``near_duplicates`` with the class (cls) of each document that has words, and its component (comp)."""
     spark = docs.sparkSession
