@@ -170,9 +170,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, mode: str = "documents", te
                   n: int = WINDOW_WORDS) -> DataFrame:
     """Documents without contaminated ones (``mode`` documents) or without their hit words (``spans``)."""
     columns = docs.columns
-    found = contamination(docs, items, text, "_found", n)
+    # The row travels as one column, so that a column of it may have any name.
+    rows = docs.select(F.struct(*columns).alias("_row"), F.col(text).alias("_text"))
+    found = contamination(rows, items, "_text", "_found", n)
     if mode == "documents":
-        return found.where(F.size(F.col("_found.spans")) == 0).select(*columns)
+        return found.where(F.size(F.col("_found.spans")) == 0).select(*[F.col("_row")[c].alias(c) for c in columns])
     if mode == "spans":
-        return found.withColumn(text, strip_spans(F.col(text), F.col("_found"))).select(*columns)
+        cut = found.withColumn("_text", strip_spans(F.col("_text"), F.col("_found")))
+        return cut.select(*[F.col("_text").alias(c) if c == text else F.col("_row")[c].alias(c) for c in columns])
     raise ValueError(f"mode is documents or spans, not {mode!r}")

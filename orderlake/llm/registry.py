@@ -39,7 +39,8 @@ def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = docs.select("doc_id", sharding.size_of(F.col("text")).alias("size"),
                          sharding.text_crc32(F.col("text")).alias("text_crc32"), F.lit("bytes").alias("law"),
                          sharding.plan(docs).alias("shard"))
-    return sharding.slots(placed, "shard", "slot").withColumn("grown_shard", F.lit(None).cast("int"))
+    return sharding.slots(placed, "shard", "slot").select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

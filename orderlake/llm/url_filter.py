@@ -324,12 +324,21 @@ def train(texts: DataFrame, order: int = ORDER) -> Ratio:
     return ratio
 
 
+JUDGED = ("host", "path", "rule", "score", "verdict")
+
+
 def judge(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
-    """``pages`` with host, path, rule, score (null where a rule decides) and verdict."""
-    host, path = host_and_path(F.col(url))
+    """``pages`` with host, path, rule, score (null where a rule decides) and verdict.
+
+    Where ``pages`` has a column of such a name, it stays and the new one has an underscore in front.
+    """
+    columns = pages.columns
+    names = [n if n not in columns else f"_{n}" for n in JUDGED]
+    rows = pages.select(F.struct(*columns).alias("_page"), F.col(url).alias("_url"))
+    host, path = host_and_path(F.col("_url"))
     rule, allowed = matching_rule(host, path, rules)
-    ratio = train(pages.select(model_text(F.col(url)).alias("text"), allowed.alias("accepted")))
-    scored = score(pages, ratio, F.when(rule.isNull(), model_text(F.col(url))))
-    verdict = F.coalesce(allowed, F.col("score") >= ratio.threshold)
-    return (scored.withColumns({"host": host, "path": path, "rule": rule})
-            .withColumn("verdict", F.when(verdict, F.lit("allow")).otherwise(F.lit("block"))))
+    ratio = train(rows.select(model_text(F.col("_url")).alias("text"), allowed.alias("accepted")))
+    scored = score(rows, ratio, F.when(rule.isNull(), model_text(F.col("_url"))))
+    verdict = F.when(F.coalesce(allowed, F.col("score") >= ratio.threshold), F.lit("allow")).otherwise(F.lit("block"))
+    new = [host, path, rule, F.col("score"), verdict]
+    return scored.select(*[F.col("_page")[c].alias(c) for c in columns], *[c.alias(n) for c, n in zip(new, names)])

@@ -72,6 +72,8 @@ def test_modes_keep_columns(spark, clashing, no_docs):
     left = decontamination.decontaminate(clashing, items)
     assert left.columns == clashing.columns and left.count() == 14
     assert left.where("doc_id = 10").count() == 0
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(
+        (tuple(r) for r in clashing.collect() if r.doc_id != 10), key=repr)
     cut = decontamination.decontaminate(clashing, items, mode="spans")
     assert cut.count() == 15 and cut.where("doc_id = 10").first().text == ""
     assert decontamination.decontaminate(no_docs, items).count() == 0

@@ -73,6 +73,46 @@ def test_components_match_all_pairs(spark, seed):
     assert found(spark, data) == brute(data)
 
 
+def around_threshold(seed, copies, words=150, apart=0):
+    """Copies of one text that were edited apart, most pairs just below the threshold; some share their edits."""
+    rng = random.Random(seed)
+    base = prose(seed, words, 10**6)
+    mother = [edited(base, rng, 3) for _ in range(4)] + [base] * 2
+    texts = [edited(rng.choice(mother), rng, rng.randrange(1, 6)) for _ in range(copies)]
+    texts += [edited(base, rng, 25) for _ in range(apart)]
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed,words", [(3, 150), (4, 40), (5, 400)])
+def test_near_copies_around_the_threshold(spark, seed, words):
+    data = around_threshold(seed, 300, words, 40)
+    assert found(spark, data) == brute(data)
+
+
+def test_large_group_around_the_threshold(spark):
+    data = around_threshold(6, 1500)
+    assert found(spark, data) == brute(data)
+
+
+def test_pairs_compared_follow_the_links_not_the_square_of_the_group(spark, monkeypatch):
+    """Copies edited apart: few of all pairs are compared, some per class and per pair that does link."""
+    met, real = [], jaccard_join._may_link
+
+    def counted(pairs, sets):
+        met.append(pairs.select("a", "b").distinct().count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(jaccard_join, "_may_link", counted)
+    copies = 400
+    rng = random.Random(copies)
+    base = prose(9, 150, 10**6)
+    data = [(i, edited(base, rng, rng.randrange(2, 6))) for i in range(copies)]
+    assert found(spark, data) == brute(data)
+    sets = [shingles(t) for _, t in data]
+    links = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert sum(met) < 8 * (copies + links) < copies * copies / 4
+
+
 def test_threshold_is_exact(spark):
     """20 common shingles: 5 more on one side is 80 in 100, 6 more is not."""
     words = [f"t{i}" for i in range(40)]

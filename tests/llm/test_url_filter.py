@@ -133,3 +133,16 @@ def test_every_gram_counts_beyond_the_broadcast_bound(spark, monkeypatch):
     for bound in (300, 0):
         monkeypatch.setattr(url_filter, "FAST_WINDOWS", bound)
         assert judged() == whole
+
+
+def test_clashing_columns_stay(spark):
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame([(i, f"http://a{i}.{d}/x{i}") for i, d in enumerate(["org", "net", "com", "de"] * 5)], "page_id bigint, url string")
+    plain = {r.page_id: (r.host, r.path, r.rule, r.score, r.verdict) for r in url_filter.judge(pages).collect()}
+    extra = pages.withColumns({c: F.lit(f"own {c}") for c in (*url_filter.JUDGED, "_row", "_text", "_key", "text", "accepted")})
+    got = url_filter.judge(extra)
+    assert got.columns == [*extra.columns, *[f"_{c}" for c in url_filter.JUDGED]]
+    for r in got.collect():
+        assert tuple(r[f"_{c}"] for c in url_filter.JUDGED) == plain[r.page_id]
+        assert all(r[c] == f"own {c}" for c in (*url_filter.JUDGED, "_row", "_text", "_key"))
