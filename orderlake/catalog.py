@@ -24,9 +24,10 @@ from orderlake.plans.publish import Warehouse, load_all, load_dimension, load_fa
 from orderlake.schemas import GOLD_TABLES, SALES_COLUMNS
 from orderlake.sources.csv import read_sales_csv, write_sales_csv
 from orderlake.sources.eventlog import EventLog, peek_events, publish_events, read_events
-from orderlake.sources.faults import damage_events, order_key
+from orderlake.sources.faults import damage_csv, damage_events, order_key
 from orderlake.sources.tables import read_table, sales_projection
 from orderlake.streaming.ingest import IngestPaths, ingest, read_bronze, read_quarantine
+from orderlake.streaming.ledger import Ledger, claim, ingest_capped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,6 +172,35 @@ def q_incremental_resume(spark, sf_dir):
     return read_bronze(spark, paths.bronze)
 
 
+def q_csv_dirty(spark, sf_dir):
+    """A CSV file with mistyped fields, sent and ingested: each line is in bronze (no reason) or in quarantine."""
+    root = scratch_path(spark, "dirty")
+    write_sales_csv(damage_csv(sales_projection(spark, sf_dir)), f"{root}/source_csv")
+    log = EventLog("files", path=f"{root}/log")
+    publish_events(read_sales_csv(spark, f"{root}/source_csv", keep_corrupt=True), log)
+    paths = _paths(root)
+    ingest(spark, log, paths)
+    good = read_bronze(spark, paths.bronze).select("order_id", F.lit(None).cast("string").alias("reject_reason"))
+    return good.unionByName(read_quarantine(spark, paths.quarantine).select("order_id", "reject_reason"))
+
+
+def q_capped_resume(spark, sf_dir):
+    """Runs under a hard cap of records: the first one fails after its claim and is repeated when more has arrived."""
+    root = scratch_path(spark, "capped")
+    sales = bronze_table(spark, sf_dir)
+    late = F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0
+    log = EventLog("files", path=f"{root}/log")
+    publish_events(sales.where(~late), log)
+    paths, ledger = _paths(root), Ledger(f"{root}/_ledger")
+    cap = -(-sales.count() // RESUME_RUNS)
+    claim(spark, log, ledger, "run-0", cap)
+    publish_events(sales.where(late), log)
+    run = 0
+    while ingest_capped(spark, log, paths, ledger, f"run-{run}", cap):
+        run += 1
+    return read_bronze(spark, paths.bronze)
+
+
 STREAM_QUERIES = {
     "csv_round_trip": q_csv_round_trip,
     "json_round_trip": q_json_round_trip,
@@ -179,6 +209,8 @@ STREAM_QUERIES = {
     "stream_ingest_dedup": q_stream_ingest_dedup,
     "stream_quarantine": q_stream_quarantine,
     "incremental_resume": q_incremental_resume,
+    "csv_dirty": q_csv_dirty,
+    "capped_resume": q_capped_resume,
 }
 
 

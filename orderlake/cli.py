@@ -45,6 +45,7 @@ def main(argv=None) -> None:
     run.add_argument("--source-csv", default=None, help="send this CSV's rows to the log first")
     run.add_argument("--slice-rows", type=int, default=None, help="rows sent per run (default: all)")
     run.add_argument("--max-per-trigger", type=int, default=None)
+    run.add_argument("--max-records", type=int, default=None, help="records ingested per run, exactly")
     decl = sub.add_parser("declare", help="create the database and the six declared tables")
     decl.add_argument("--database", required=True)
     decl.add_argument("--warehouse", required=True)
@@ -58,8 +59,9 @@ def main(argv=None) -> None:
         declare_gold(spark, args.database, args.warehouse)
     elif args.cmd == "run":
         cfg = RunConfig(EventLog("files", path=args.log), args.lake, Warehouse(args.warehouse, args.database),
-                        slice_rows=args.slice_rows, max_per_trigger=args.max_per_trigger)
-        source = read_sales_csv(spark, args.source_csv) if args.source_csv else None
+                        slice_rows=args.slice_rows, max_per_trigger=args.max_per_trigger,
+                        max_records=args.max_records)
+        source = read_sales_csv(spark, args.source_csv, keep_corrupt=True) if args.source_csv else None
         report = daily_run(spark, cfg, args.run_id, source=source)
         print(json.dumps({"run_id": report.run_id, "sent": report.sent, "rows": report.rows}))
     else:
