@@ -16,6 +16,7 @@ from orderlake.functions.codec import decode_events
 from orderlake.operators import quality, reports
 from orderlake.operators.dedupe import latest_per_key
 from orderlake.operators.fact import build_fact_sales
+from orderlake.operators.joins import lookup_key
 from orderlake.operators.keys import update_key_map
 from orderlake.operators.slicing import positional_slice, produce_batch
 from orderlake.plans.daily_run import RunConfig, daily_run
@@ -268,6 +269,19 @@ def q_dim_incremental_keys(spark, sf_dir):
     return update_key_map(spark, path, sales.select("customer_id"), "customer_id", "customer_key")
 
 
+# A customer who gets every third order, and orders without a customer (moduli on the order key).
+HOT_CUSTOMER, HOT_EVERY = "C1", 3
+
+
+def q_lookup_hot_names(spark, sf_dir):
+    """Customers looked up in a dimension taken as too large to broadcast; one of them has a third of all rows."""
+    gold = _gold(spark, sf_dir)
+    k = order_key()
+    orders = sales_projection(spark, sf_dir).select("order_id", F.when(k % NULL_CUSTOMER_EVERY == 0, F.lit(None)).when(
+        k % HOT_EVERY == 0, F.lit(HOT_CUSTOMER)).otherwise(F.col("customer_id")).alias("customer_id"))
+    return lookup_key(orders, gold["dim_customer"], "customer_id", "customer_id", "customer_gender", max_rows=0)
+
+
 def q_fact_replay(spark, sf_dir):
     """Two runs (orders before / from the cut date), the second one replayed."""
     wh = Warehouse(scratch_path(spark, "wh"))
@@ -404,6 +418,7 @@ GOLD_QUERIES = {
     "dq_domains": _dq("domain"),
     "dq_lengths": _dq("max_length"),
     "dim_incremental_keys": q_dim_incremental_keys,
+    "lookup_hot_names": q_lookup_hot_names,
     "fact_replay": q_fact_replay,
     "fact_corrections": q_fact_corrections,
     "fact_changed_replay": q_fact_changed_replay,
