@@ -19,6 +19,7 @@ from orderlake.operators.fact import build_fact_sales
 from orderlake.operators.joins import lookup_key
 from orderlake.operators.keys import update_key_map
 from orderlake.operators.slicing import positional_slice, produce_batch
+from orderlake.plans import published_reports
 from orderlake.plans.daily_run import RunConfig, daily_run
 from orderlake.plans.gold import star_schema
 from orderlake.plans.publish import Warehouse, load_all, load_dimension, load_fact, open_table, write_table
@@ -345,6 +346,35 @@ def q_fact_changed_replay(spark, sf_dir):
     return open_table(spark, wh, "fact_sales")
 
 
+def q_reports_incremental(spark, sf_dir):
+    """The changed replay of ``fact_changed_replay``, then the reports from the parts' partials, one below the other."""
+    wh = Warehouse(scratch_path(spark, "wh"))
+    sales = bronze_table(spark, sf_dir)
+    star = star_schema(sales)
+    load_all(spark, wh, star.tables, "run-1")
+    region, payment = (open_table(spark, wh, n) for n in ("dim_region", "dim_payment"))
+    n_region, n_payment = region.count(), payment.count()
+
+    def newer(every):
+        rows = sales.where(order_key() % every == 0).withColumns(
+            {"order_date": F.lit(NEWER_VERSION[0]), "total_amount": F.lit(NEWER_VERSION[1])})
+        return build_fact_sales(rows, region, payment, n_region, n_payment, keep_state=True)
+
+    load_fact(spark, wh, newer(NEWER_EVERY), "run-2")
+    load_fact(spark, wh, newer(REPEATED_EVERY), "run-2")
+
+    def lines(report, name, year=None, quarter=None, orders="total_orders", amount=None, rate=None):
+        columns = {"name": (name, "string"), "year": (year, "int"), "quarter": (quarter, "int"),
+                   "orders": (orders, "bigint"), "amount": (amount, "double"), "rate": (rate, "double")}
+        return published_reports.REPORTS[report](spark, wh).select(F.lit(report).alias("report"), *[
+            (F.lit(None) if c is None else F.col(c)).cast(t).alias(n) for n, (c, t) in columns.items()])
+
+    return (lines("table_counts", "tbl", orders="cnt").where("name = 'fact_sales'")
+            .unionByName(lines("revenue_by_region", "region_name", amount="total_revenue", rate="avg_profit_margin"))
+            .unionByName(lines("revenue_by_category_quarter", "category", "year", "quarter", "orders", "revenue"))
+            .unionByName(lines("return_rate_by_payment", "payment_method", amount="returned_orders", rate="return_rate_pct")))
+
+
 def q_publish_dimensions(spark, sf_dir):
     """dim_customer published from the early orders, then swapped for the full build."""
     wh = Warehouse(scratch_path(spark, "wh"))
@@ -422,6 +452,7 @@ GOLD_QUERIES = {
     "fact_replay": q_fact_replay,
     "fact_corrections": q_fact_corrections,
     "fact_changed_replay": q_fact_changed_replay,
+    "reports_incremental": q_reports_incremental,
     "publish_dimensions": q_publish_dimensions,
     "publish_all": q_publish_all,
     "gold_run_metrics": q_gold_run_metrics,

@@ -16,23 +16,13 @@ import json
 
 from pyspark.sql import SparkSession
 
-from orderlake.operators import reports
 from orderlake.plans.daily_run import RunConfig, daily_run
 from orderlake.plans.ddl import declare_gold
-from orderlake.plans.publish import Warehouse, open_table
-from orderlake.schemas import GOLD_TABLES
+from orderlake.plans.publish import Warehouse
+from orderlake.plans.published_reports import REPORTS
 from orderlake.sources.csv import read_sales_csv
 from orderlake.sources.eventlog import EventLog
 
-REPORTS = {
-    "table_counts": lambda t: reports.table_counts(t),
-    "revenue_by_region": lambda t: reports.revenue_by_region(t["fact_sales"], t["dim_region"]),
-    "revenue_by_category_quarter": lambda t: reports.revenue_by_category_quarter(
-        t["fact_sales"], t["dim_product"], t["dim_date"]),
-    "return_rate_by_payment": lambda t: reports.return_rate_by_payment(t["fact_sales"], t["dim_payment"]),
-}
-
-
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="orderlake")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -65,8 +55,7 @@ def main(argv=None) -> None:
         report = daily_run(spark, cfg, args.run_id, source=source)
         print(json.dumps({"run_id": report.run_id, "sent": report.sent, "rows": report.rows}))
     else:
-        wh = Warehouse(args.warehouse)
-        report = REPORTS[args.name]({n: open_table(spark, wh, n) for n in GOLD_TABLES})
+        report = REPORTS[args.name](spark, Warehouse(args.warehouse))
         print("\t".join(report.columns))
         for row in report.toLocalIterator():  # every row, a partition at a time
             print("\t".join("" if v is None else str(v) for v in row))

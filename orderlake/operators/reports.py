@@ -35,6 +35,11 @@ def revenue_by_region(fact: DataFrame, dim_region: DataFrame) -> DataFrame:
         exact_sum_dec("profit_margin").alias("pm_sum"),
         F.count("profit_margin").alias("pm_n"),
     )
+    return name_regions(per_key, dim_region)
+
+
+def name_regions(per_key: DataFrame, dim_region: DataFrame) -> DataFrame:
+    """Q2 from sums by region_id: n, rev, pm_sum, pm_n."""
     joined = per_key.join(dim_region, "region_id")
     return (
         joined.groupBy("region_name").agg(
@@ -67,6 +72,11 @@ def revenue_by_category_quarter(fact: DataFrame, dim_product: DataFrame, dim_dat
         pre = dated.groupBy("product_id", "year", "quarter").agg(
             F.count("order_id").alias("n"), exact_sum_dec("total_amount").alias("rev"))
         partial = pre.join(products, "product_id")
+    return total_categories(partial)
+
+
+def total_categories(partial: DataFrame) -> DataFrame:
+    """Q3 from sums n, rev that carry category, year and quarter."""
     return (
         partial.groupBy("category", "year", "quarter").agg(
             F.sum("n").alias("orders"), F.sum("rev").cast("double").alias("revenue"))
@@ -78,6 +88,11 @@ def return_rate_by_payment(fact: DataFrame, dim_payment: DataFrame) -> DataFrame
     """Q4: per payment method: orders, returns, return rate % (2 dp); by rate desc."""
     per_key = fact.where(F.col("payment_id").isNotNull()).groupBy("payment_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("is_returned").alias("r"))
+    return name_payments(per_key, dim_payment)
+
+
+def name_payments(per_key: DataFrame, dim_payment: DataFrame) -> DataFrame:
+    """Q4 from sums by payment_id: n, r."""
     joined = per_key.join(dim_payment, "payment_id")
     agg = joined.groupBy("payment_method").agg(
         F.sum("n").alias("total_orders"), F.sum("r").alias("returned_orders"))

@@ -8,6 +8,7 @@ Layout under a warehouse root (a shared folder):
   run, with all orders that the run brought; nothing in it is ever rewritten;
 * ``tables/fact_sales/index``, ``…/deletes`` — which part has which order, and which
   orders of a part aren't shown (``orderlake.plans.versions``);
+* ``tables/fact_sales/partials`` — the reports' sums of each part (``orderlake.plans.partials``);
 * ``_manifest/<number>.json`` — the commits (``orderlake.plans.commits``): pointers
   (table, run_id, path, rows, seq, part).  What is current of a dimension, or of a part of
   the fact, is its pointer of the highest commit.  One commit re-points the dimensions and
@@ -35,8 +36,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from orderlake.config import materialize
 from orderlake.functions.names import qualified_name
 from orderlake.operators.dedupe import BEST
-from orderlake.plans import commits, versions
+from orderlake.plans import commits, partials, versions
 from orderlake.plans.commits import Conflict
+from orderlake.plans.partials import partials_of
 from orderlake.plans.versions import Parts, deletes_of, index_of
 from orderlake.schemas import DIMENSIONS, FACTS, GOLD_TABLES
 from orderlake.sources import warehouse
@@ -295,7 +297,7 @@ def read_fact_parts(spark: SparkSession, wh: Warehouse, parts: Parts, names: lis
 
 def merge_fact(spark: SparkSession, wh: Warehouse, staged: DataFrame, run_id: str,
                name: str = "fact_sales") -> Changes:
-    """Write the run's part, its index and the delete files that change; returns the pointers to them."""
+    """Write the run's part, its index, and the delete files and partials that change; returns the pointers to them."""
     entries = manifest_entries(spark, wh)
     parts = Parts.of(entries, name)
     table, index = wh.table_dir(name), wh.table_dir(index_of(name))
@@ -311,11 +313,30 @@ def merge_fact(spark: SparkSession, wh: Warehouse, staged: DataFrame, run_id: st
     folder = f"{table}/version={run_id}-{uuid.uuid4().hex[:8]}"
     rows = write_table(staged.withColumn(RUN_COL, F.lit(run_id)).sortWithinPartitions("date_key", "order_id"), folder,
                        partition_by=[RUN_COL])
+    sums = _merge_partials(spark, wh, staged, run_id, name, parts, settled)
     of_run = versions.write_index(staged, index, run_id, wh.index_buckets) if rows else index
     log.info("fact %s: run %s brought %d rows, %d delete files changed", name, run_id, rows, len(settled.deletes))
     return Changes([(name, run_id, f"{folder}/{RUN_COL}={run_id}", rows, run_id),
                     (index_of(name), run_id, of_run, rows, run_id),
-                    *[(deletes_of(name), run_id, path, n, p) for p, (path, n) in settled.deletes.items()]], _latest(entries))
+                    *[(deletes_of(name), run_id, path, n, p) for p, (path, n) in settled.deletes.items()],
+                    *[(partials_of(name), run_id, path, n, p) for p, (path, n) in sums.items()]], _latest(entries))
+
+
+def _merge_partials(spark: SparkSession, wh: Warehouse, staged: DataFrame, run_id: str, name: str, parts: Parts,
+                    settled: versions.Settled) -> dict[str, tuple[str, int]]:
+    """The partials of the run's part and of the parts whose shown rows change: part -> (path, rows)."""
+    hidden = settled.deletes.get(run_id, parts.deletes.get(run_id, ("", 0)))
+    own = staged.select(*partials.FACT_COLUMNS)
+    if hidden[1]:
+        gone = versions.read_deletes(spark, wh.table_dir(deletes_of(name)), {run_id: hidden}).select("order_id")
+        own = own.join(gone, "order_id", "left_anti")
+    others = {p: parts.partials[p] for p in settled.deletes if p != run_id and p in parts.partials}
+    moved = None
+    if others:
+        turned = settled.moved.select("order_id", RUN_COL, (-F.col("_n")).alias(partials.SIGN))
+        moved = (_fact_files(spark, wh, [parts.data[p][0] for p in others], name)
+                 .select(RUN_COL, *partials.FACT_COLUMNS).join(turned, ["order_id", RUN_COL]))
+    return partials.write_partials(spark, wh.table_dir(partials_of(name)), run_id, own, moved, others)
 
 
 # --------------------------------------------------------------------- all

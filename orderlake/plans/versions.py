@@ -15,13 +15,14 @@ repeated run that no longer has an order brings the other runs' version back.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from orderlake.config import materialize, path_exists
+from orderlake.plans.partials import partials_of
 
 ORDER, RUN, BUCKET = "order_id", "run_id", "bucket"
 INDEX_ROW = StructType([StructField(ORDER, StringType()), StructField(RUN, StringType()), StructField(BUCKET, IntegerType())])
@@ -47,16 +48,20 @@ class Parts:
     data: dict[str, tuple[str, int]]
     index: dict[str, str]
     deletes: dict[str, tuple[str, int]]
+    partials: dict[str, tuple[str, int]] = field(default_factory=dict)
 
     @classmethod
     def of(cls, entries: list[tuple], table: str) -> Parts:
         newest: dict[tuple[str, str], tuple] = {}
+        kinds = (table, index_of(table), deletes_of(table), partials_of(table))
         for tbl, _, path, rows, seq, part in entries:
-            if tbl in (table, index_of(table), deletes_of(table)) and seq > newest.get((tbl, part), (-1,))[0]:
+            if tbl in kinds and seq > newest.get((tbl, part), (-1,))[0]:
                 newest[tbl, part] = (seq, path, rows)
-        found = {t: {part: (path, rows) for (tbl, part), (_, path, rows) in newest.items() if tbl == t and rows}
-                 for t in (table, index_of(table), deletes_of(table))}
-        return cls(found[table], {p: path for p, (path, _) in found[index_of(table)].items()}, found[deletes_of(table)])
+        found = {t: {part: (path, rows) for (tbl, part), (_, path, rows) in newest.items()
+                     if tbl == t and (rows or t == partials_of(table))}  # a partial may be empty
+                 for t in kinds}
+        index = {p: path for p, (path, _) in found[index_of(table)].items()}
+        return cls(found[table], index, found[deletes_of(table)], found[partials_of(table)])
 
     def live(self, part: str) -> int:
         return self.data.get(part, ("", 0))[1] - self.deletes.get(part, ("", 0))[1]
@@ -92,10 +97,14 @@ def write_index(staged: DataFrame, base: str, run_id: str, buckets: int) -> str:
 
 @dataclass
 class Settled:
-    """The outcome of ``settle``: part -> (path, rows) of the delete files that change."""
+    """The outcome of ``settle``: part -> (path, rows) of the delete files that change.
+
+    ``moved`` has the orders whose version in a part (run_id) is hidden now (_n 1) or shown again (-1).
+    """
 
     deletes: dict[str, tuple[str, int]]
     opened: list[int]
+    moved: DataFrame | None = None
 
 
 def settle(spark: SparkSession, staged: DataFrame, run_id: str, parts: Parts, index_base: str, deletes_base: str,
@@ -128,8 +137,9 @@ def settle(spark: SparkSession, staged: DataFrame, run_id: str, parts: Parts, in
     old = read_deletes(spark, deletes_base, had)
     said = old.join(touched.select(ORDER), ORDER, "left_semi")
     changed = said.withColumn("_n", F.lit(-1)).unionByName(hidden.withColumn("_n", F.lit(1)))
-    changed = changed.groupBy(ORDER, RUN).agg(F.sum("_n").alias("_n")).where("_n <> 0").select(RUN).distinct()
-    names = [r[0] for r in changed.collect()]
+    changed = changed.groupBy(ORDER, RUN).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    changed = materialize(changed, "changed-versions")
+    names = [r[0] for r in changed.select(RUN).distinct().collect()]
     if not names:
         return Settled({}, opened)
     kept = old.join(touched.select(ORDER), ORDER, "left_anti").unionByName(hidden).where(F.col(RUN).isin(*names))
@@ -138,4 +148,4 @@ def settle(spark: SparkSession, staged: DataFrame, run_id: str, parts: Parts, in
     paths = {p: f"{folder}/{RUN}={p}" for p in names}
     written = {p: (path, 1) for p, path in paths.items() if path_exists(spark, path)}
     rows = {r[RUN]: r["count"] for r in read_deletes(spark, deletes_base, written).groupBy(RUN).count().collect()}
-    return Settled({p: (path, rows.get(p, 0)) for p, path in paths.items()}, opened)
+    return Settled({p: (path, rows.get(p, 0)) for p, path in paths.items()}, opened, changed)
