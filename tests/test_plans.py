@@ -151,3 +151,25 @@ def test_a_publish_opens_the_index_buckets_of_its_orders_only(spark, monkeypatch
     assert re.search(r"PartitionFilters: \[.*bucket", _formatted(rows))
     assert {r[0] for r in rows.select("bucket").distinct().collect()} == set(buckets)
     assert publish.open_table(spark, wh, "fact_sales").where("quantity = 999").count() == 2
+
+
+def test_load_fact_leaves_no_scratch_folder(spark):
+    from orderlake.config import child_names, shared_root
+    from orderlake.plans.publish import Warehouse, load_fact, open_table
+    from orderlake.schemas import GOLD_TABLES
+
+    kinds = ("staged-fact", "touched-orders", "older-versions", "hidden-versions", "changed-versions")
+
+    def folders():
+        return {n for n in child_names(spark, f"{shared_root(spark)}/orderlake") if n.startswith(kinds)}
+
+    def fact(rows):
+        named = [{"order_id": o, "customer_id": "C1", "product_id": "P1", "date_key": d, "quantity": 1} for o, d in rows]
+        return spark.createDataFrame(named, GOLD_TABLES["fact_sales"].schema)
+
+    wh, before = Warehouse(scratch_path(spark, "wh")), folders()
+    load_fact(spark, wh, fact([("a", 20240101), ("b", 20240101)]), "run-1")
+    load_fact(spark, wh, fact([("a", 20240102)]), "run-2")
+    assert folders() == before
+    shown = {(r.order_id, r.date_key) for r in open_table(spark, wh, "fact_sales").collect()}
+    assert shown == {("a", 20240102), ("b", 20240101)}
