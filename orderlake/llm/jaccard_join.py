@@ -24,9 +24,13 @@ Every link is found, none is expanded into copies:
    differences together exceed (n + m) / 9 by.  That is a prefix filter once more, on the
    differences, which are much smaller and rarer than the sets: copies that were edited
    apart, each on its own, meet nowhere.  Pairs that need nothing in common all link to the class
-   with the most room, which stands for them.
+   with the most room, which stands for them and is compared first.  The lists of differences are not
+   paired off either: in TURNS turns a class is compared to the one of its lists' leaders (LEADERS a list)
+   that it is closest to by the shingles they meet at, and each turn's links join components before the next.
+   Only then do the classes of a list that are still in different components meet, so most links
+   of a dense group are never compared.
 6. Other classes of a list, outside its main component, are compared to the list's classes in other
-   components.  All pairs pass the length filter, the positional filter (the shared shingles from
+   components by then.  All pairs pass the length filter, the positional filter (the shared shingles from
    the common one on, in either class, reach the overlap that the two sizes need) and the suffix filter.
 7. A pair is verified once, on the full sets, and the verified links give the components
    (``components``), by repeated steps of joins and grouped minima.
@@ -56,6 +60,10 @@ MIN_PERCENT = 80
 PARTS = 64
 # A class is near a leader if their sets differ in at most NEAR[0] / NEAR[1] of both sizes (similarity 0.4).
 NEAR = 3, 7
+# Turns in which each class near a leader is compared to one of its lists' leaders; what is left is compared in full.
+TURNS = 2
+# Leaders of such a list.
+LEADERS = 8
 
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
@@ -157,6 +165,21 @@ def components(edges: DataFrame) -> DataFrame:
         path = new
 
 
+def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of all links so far: those that made ``comps`` (node, comp), which is stored, and ``links`` (a, b)."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    every = comps.unionByName(ends.join(comps, "node", "left_anti").withColumn("comp", F.col("node")))
+    between = _with_comp(_with_comp(links, comps, "a", "_ca"), comps, "b", "_cb")
+    moved = components(between.select(F.col("_ca").alias("a"), F.col("_cb").alias("b")))
+    return _with_comp(every.withColumnRenamed("comp", "_old"), moved, "_old", "_new").select("node", F.col("_new").alias("comp"))
+
+
+def attach(pairs: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Stored (node, comp) with the links among the pairs (a, b)."""
+    found = materialize(_linked(_may_link(pairs, sets), sets), "links")
+    return comps if found.isEmpty() else materialize(merged(comps, found), "comps")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     x = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_x"))
@@ -218,21 +241,13 @@ def find_components(posts: DataFrame, sets: DataFrame) -> DataFrame:
     comps = materialize(components(links), "comps")
 
     others = _with_comp(_with_comp(votes.select("a", "b"), comps, "a", "_ca"), comps, "b", "_cb").where("_ca != _cb")
-    more = materialize(_linked(_may_link(others, sets), sets), "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        comps = materialize(components(links), "comps")
+    comps = attach(others, comps, sets)
 
-    # Lists with several components.
-    placed = _with_comp(posts, comps, "cls", "comp")
-    mains = (placed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("lead"))
-             .groupBy("tok").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.min("lead").alias("lead"),
-                                 F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps"))
-    mixed = materialize(placed.join(mains, "tok").where("cls != lead"), "mixed")  # all leaders are compared
-    near = recentred(mixed.select("lead", "cls", "comp").distinct(), sets)
-    around = near_pairs(near)
+    near = recentred(mixed(posts, comps).select("lead", "cls").distinct(), sets)
+    comps = join_near(near, comps, sets)
     # Elsewhere, what is outside the main component meets the others.
-    marked = materialize(mixed.join(near.select("lead", "cls", F.lit(True).alias("near")), ["lead", "cls"], "left"), "marked")
+    marked = materialize(mixed(posts, comps).join(near.select("lead", "cls", F.lit(True).alias("near")),
+                                                  ["lead", "cls"], "left"), "marked")
     x = marked.where("comp != main").select("tok", *[F.col(c).alias(f"x_{c}") for c in ("cls", "n", "rest", "comp", "near")])
     apart = (x.join(marked, "tok")
              .where((F.col("x_comp") != F.col("comp"))
@@ -241,12 +256,20 @@ def find_components(posts: DataFrame, sets: DataFrame) -> DataFrame:
                     & (F.least("x_n", "n") >= _least(F.greatest("x_n", "n")))
                     & (F.least("x_rest", "rest") >= _overlap(F.col("x_n"), F.col("n"))))
              .select(F.col("x_cls").alias("a"), F.col("cls").alias("b")))
-    last = materialize(_linked(_may_link(around.unionByName(apart), sets), sets), "links")
-    return comps if last.isEmpty() else components(links.unionByName(last))
+    return attach(apart, comps, sets)
+
+
+def mixed(posts: DataFrame, comps: DataFrame) -> DataFrame:
+    """Postings of the lists with several components, without their leaders (all were compared): also comp, main and lead."""
+    placed = _with_comp(posts, comps, "cls", "comp")
+    mains = (placed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("lead"))
+             .groupBy("tok").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.min("lead").alias("lead"),
+                                 F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps"))
+    return placed.join(mains, "tok").where("cls != lead")
 
 
 def recentred(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Stored: lead, cls, comp, n and ``diff``, the shingles that one of the two has, of classes near their leader.
+    """Stored: lead, cls, n and ``diff``, the shingles that one of the two has, of classes near their leader.
 
     ``room``: n - 9 |diff|.  Two classes of a leader differ in at most (n + m) / 9 shingles, that is, they
     link, if their differences have -(room + room') / 18 shingles in common.
@@ -257,7 +280,7 @@ def recentred(members: DataFrame, sets: DataFrame) -> DataFrame:
         "diff", F.concat(F.array_except("_x", "_y"), F.array_except("_y", "_x")))
     d = F.size("diff")
     return materialize(met.where(d * NEAR[1] <= (F.size("_x") + F.size("_y")) * NEAR[0])
-                       .select("lead", "cls", "comp", "n", "diff", (F.col("n") - d * 9).alias("room")), "recentred")
+                       .select("lead", "cls", "n", "diff", (F.col("n") - d * 9).alias("room")), "recentred")
 
 
 def _needed(room: Column, other: Column) -> Column:
@@ -265,17 +288,30 @@ def _needed(room: Column, other: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(-(room + other) / 18)).cast("bigint")
 
 
-def near_pairs(near: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes near a leader, in different components, that may link."""
-    leads = materialize(near.groupBy("lead").agg(F.max(F.struct("room", "cls", "comp")).alias("best"),
+def join_near(near: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, comp) with the links between classes near one leader.  ``near`` and ``comps`` are stored."""
+    leads = materialize(near.groupBy("lead").agg(F.max(F.struct("room", "cls")).alias("best"),
                                                  F.count(F.lit(1)).alias("members")), "leads")
-    seen = materialize(join_hot_apart(near.select("lead", "cls", "comp", "n", "room"), leads, "lead", "members", "inner"),
+    seen = materialize(join_hot_apart(near.select("lead", "cls", "n", "room"), leads, "lead", "members", "inner"),
                        "near-leads")
     # Whoever needs nothing in common with someone needs nothing in common with the class that has most room.
-    roomy = (seen.where((F.col("room") + F.col("best.room") >= 0) & (F.col("comp") != F.col("best.comp")))
+    roomy = (seen.where(F.col("room") + F.col("best.room") >= 0)
              .select(F.col("cls").alias("a"), F.col("best.cls").alias("b")))
+    roomy = _with_comp(_with_comp(roomy, comps, "a", "_ca"), comps, "b", "_cb").where("_ca != _cb")
+    comps = attach(roomy, comps, sets)
+    posts = near_postings(near, seen)
+    for turn in range(TURNS):
+        before, comps = comps, attach(to_leaders(posts, comps, turn), comps, sets)
+        if comps is before:
+            break
+    return attach(near_pairs(posts, comps), comps, sets)
+
 
-    # A list per leader and shingle; a hash collision would only make a list longer.
+def near_postings(near: DataFrame, seen: DataFrame) -> DataFrame:
+    """Stored rare-first postings of the differences: a list (key) per leader and shingle.
+
+    A hash collision would only make a list longer.
+    """
     every = near.select("lead", "cls", F.explode("diff").alias("tok")).withColumn("key", F.xxhash64("lead", "tok"))
     shared = materialize(every.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
     counted = join_hot_apart(every.select("lead", "cls", "key"), shared.withColumn("freq", F.col("df")), "key", "df", "inner")
@@ -284,16 +320,57 @@ def near_pairs(near: DataFrame) -> DataFrame:
             .withColumn("least", _needed(F.col("room"), F.col("best.room"))).withColumn("s", F.size("toks").cast("bigint"))
             .where("s >= least"))
     first = F.slice("toks", F.lit(1), (F.col("s") - F.col("least") + 1).cast("int"))
-    posts = materialize(toks.select("cls", "comp", "n", "room", "s", F.posexplode(first).alias("_i", "_t"))
-                        .select(F.col("_t.key").alias("key"), "cls", "comp", "n", "room", (F.col("s") - F.col("_i")).alias("rest")),
-                        "near-postings")
-    x = posts.select("key", *[F.col(c).alias(f"x_{c}") for c in ("cls", "comp", "n", "room", "rest")])
-    joined = (x.join(posts, "key")
-              .where((F.col("x_cls") < F.col("cls")) & (F.col("x_comp") != F.col("comp"))
-                     & (F.least("x_n", "n") >= _least(F.greatest("x_n", "n")))
-                     & (F.least("x_rest", "rest") >= _needed(F.col("x_room"), F.col("room"))))
-              .select(F.col("x_cls").alias("a"), F.col("cls").alias("b")))
-    return roomy.unionByName(joined)
+    return materialize(toks.select("lead", "cls", "n", "room", "s", F.posexplode(first).alias("_i", "_t"))
+                       .select(F.col("_t.key").alias("key"), "lead", "cls", "n", "room",
+                               (F.col("s") - F.col("_i")).alias("rest")), "near-postings")
+
+
+def _meet(x: DataFrame, placed: DataFrame, when: Column) -> DataFrame:
+    """Pairs (x_cls, cls) that may link of two sides' postings, with ``score``: the higher, the likelier they link.
+
+    Two classes have in common at most the postings they meet at and what is left of either after the last.
+    """
+    x = x.select("key", *[F.col(c).alias(f"x_{c}") for c in ("cls", "comp", "n", "room", "rest")])
+    fit = ((F.col("x_comp") != F.col("comp"))
+           & (F.least("x_n", "n") >= _least(F.greatest("x_n", "n")))
+           & (F.least("x_rest", "rest") >= _needed(F.col("x_room"), F.col("room"))))
+    return (x.join(placed, "key").where(fit & when).withColumn("rooms", F.col("x_room") + F.col("room"))
+            .groupBy("lead", "x_cls", "cls", "rooms", _needed(F.col("x_room"), F.col("room")).alias("least"))
+            .agg(F.count(F.lit(1)).alias("c"), F.min(F.least("x_rest", "rest")).alias("rest"))
+            .where(F.col("c") - 1 + F.col("rest") >= F.col("least"))
+            .select("x_cls", "cls", (F.col("rooms") + F.col("c") * 18).alias("score")))
+
+
+def _still_mixed(posts: DataFrame, comps: DataFrame) -> DataFrame:
+    """Stored: the postings of the lists with several components, with comp and the list's main one."""
+    placed = _with_comp(posts, comps, "cls", "comp")
+    mains = (placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+             .groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
+             .where("comps > 1").drop("comps"))
+    return materialize(placed.join(mains, "key"), "near-mixed")
+
+
+def to_leaders(posts: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b), one at most for each class: that of its lists' leaders, in another component, which it is closest to.
+
+    A list's classes are dealt out to LEADERS parts, each led by its roomiest class in turn 0 and by any in later turns.
+    """
+    placed = _still_mixed(posts, comps)
+    order = F.col("room") if turn == 0 else F.xxhash64("cls", F.lit(-turn))
+    leaders = (placed.groupBy("key", F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(LEADERS)).alias("_part"))
+               .agg(F.max(F.struct(order.alias("order"), "cls", "comp", "n", "room", "rest")).alias("x"))
+               .select("key", "x.*"))
+    return (_meet(leaders, placed, F.col("comp") != F.col("main")).groupBy(F.col("cls").alias("a"))
+            .agg(F.max_by("x_cls", F.struct("score", "x_cls")).alias("b")))
+
+
+def near_pairs(posts: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes near a leader, still in different components, that may link."""
+    placed = _still_mixed(posts, comps)
+    # A pair within the main component needs no comparison, so one of the two is outside.
+    x = placed.where("comp != main")
+    return (_meet(x, placed, (F.col("comp") == F.col("main")) | (F.col("x_cls") < F.col("cls")))
+            .select(F.col("x_cls").alias("a"), F.col("cls").alias("b")))
 
 
 def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -113,6 +113,38 @@ def test_pairs_compared_follow_the_links_not_the_square_of_the_group(spark, monk
     assert sum(met) < 8 * (copies + links) < copies * copies / 4
 
 
+def test_pairs_compared_in_a_dense_group_are_fewer_than_its_links(spark, monkeypatch):
+    """Copies with one to six words changed to common ones, most linked with many others: links between them are not all compared."""
+    met, real = [], jaccard_join._may_link
+
+    def counted(pairs, sets):
+        met.append(pairs.select("a", "b").distinct().count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(jaccard_join, "_may_link", counted)
+    rng = random.Random(12)
+    base = prose(12, 150, 10**6).split(" ")
+    data = []
+    for i in range(1000):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 2, 2, 3, 3, 4, 6])):
+            words[rng.randrange(len(words))] = f"common{rng.randrange(30)}"
+        data.append((i, " ".join(words)))
+    assert found(spark, data) == brute(data)
+    sets = [shingles(t) for _, t in data]
+    links = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert sum(met) < min(links / 3, 12 * len(data))
+
+
+def test_components_after_more_links_equal_those_of_all_links(spark):
+    edges = [(1, 2), (2, 3), (10, 11), (20, 21), (21, 22), (30, 31)]
+    more = [(3, 11), (22, 40), (50, 51), (51, 52), (5, 30)]
+    schema = "a bigint, b bigint"
+    comps = jaccard_join.components(spark.createDataFrame(edges, schema))
+    got = rows(jaccard_join.merged(comps, spark.createDataFrame(more, schema)))
+    assert got == rows(jaccard_join.components(spark.createDataFrame(edges + more, schema)))
+
+
 def test_threshold_is_exact(spark):
     """20 common shingles: 5 more on one side is 80 in 100, 6 more is not."""
     words = [f"t{i}" for i in range(40)]
