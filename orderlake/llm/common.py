@@ -17,6 +17,10 @@ HELD_OUT_EVERY = 5
 HOT_SHARE = 1000
 # Ids that may be broadcast: 16 MB of them.
 MAX_BROADCAST_IDS = 2_000_000
+# Rows that a Python worker gets at once where texts are worked on.  Both the JVM, outside its heap, and the worker
+# hold a batch whole, and a worker that is reused keeps the memory of its largest one.
+BATCH_ROWS = 256
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Buckets per group of a distributed running sum.
 SCAN_BUCKETS = 4096
 
@@ -35,6 +39,12 @@ def ship_package(spark: SparkSession) -> None:
     sc._orderlake_shipped = True
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands its Python workers at most BATCH_ROWS rows at once; a smaller setting stays."""
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32(doc_id as text) mod 5 is 0; a null id counts as its empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % HELD_OUT_EVERY == 0

@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 
 from orderlake.config import drop_path, materialize, materialize_at
 from orderlake.llm import textbuf
-from orderlake.llm.common import bounded_semi_join, join_hot_apart
+from orderlake.llm.common import bounded_semi_join, join_hot_apart, small_batches
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
@@ -376,6 +376,7 @@ def near_pairs(posts: DataFrame, comps: DataFrame) -> DataFrame:
 def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``near_duplicates`` with the class (cls) of each document that has words, and its component (comp)."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed, signed_path = materialize_at(
         textbuf.map_texts(rows, "text", ["doc_id"], sign, "n bigint, cls bigint, shown array<bigint>"), "signed")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm import textbuf
-from orderlake.llm.common import held_out, spread
+from orderlake.llm.common import held_out, small_batches, spread
 
 DIM = 8192
 CLUSTERS = 3
@@ -270,6 +270,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> Column
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is recognised, columns unchanged."""
+    small_batches(docs.sparkSession)
     columns = docs.columns
     rows = docs.select(F.struct(*columns).alias("_row"), F.col("text").alias("_text"))
     judged = rows.withColumn("_lang", identify(rows, train(docs), "_text"))

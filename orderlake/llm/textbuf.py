@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 1 << 20
+# Of ``map_texts``, whose working arrays and results take some 40 bytes per byte of text.
+MAP_CHUNK_BYTES = 1 << 18
 SPACES = b" \t\n\x0b\x0c\r"
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -58,7 +60,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def _power(kind: str, n: int) -> np.ndarray:
     if len(_powers[kind]) < n:
-        step = np.full(max(n, CHUNK_BYTES + 1), _BASE if kind == "base" else _BASE_INV, np.uint64)
+        step = np.full(max(n, 2 * len(_powers[kind])), _BASE if kind == "base" else _BASE_INV, np.uint64)
         step[0] = 1
         _powers[kind] = np.cumprod(step, dtype=np.uint64)
     return _powers[kind][:n]
@@ -162,7 +164,7 @@ def map_texts(df: DataFrame, text: str, kept: list[str], measure: Callable[[np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, offsets in chunks(batch.column(0)):
+            for row, data, offsets in chunks(batch.column(0), MAP_CHUNK_BYTES):
                 own = [c.slice(row, len(offsets) - 1) for c in batch.columns[1:]]
                 yield pa.RecordBatch.from_arrays([*own, *measure(data, offsets)], [*kept, *names])
 

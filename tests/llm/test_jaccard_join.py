@@ -4,9 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from orderlake.llm import jaccard_join
+from orderlake.llm import jaccard_join, langid, textbuf
+from orderlake.llm.common import BATCH_ROWS
 from tests.llm.conftest import DOC_SCHEMA, prose, rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -136,6 +138,49 @@ def test_pairs_compared_in_a_dense_group_are_fewer_than_its_links(spark, monkeyp
     assert sum(met) < min(links / 3, 12 * len(data))
 
 
+@pytest.fixture
+def batch_setting(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, "10000")
+    yield setting
+    spark.conf.unset(setting)
+
+
+@pytest.mark.parametrize("step", [jaccard_join.near_duplicates, jaccard_join.keep_one, langid.keep_identified])
+def test_workers_get_few_texts_at_once(spark, batch_setting, step):
+    docs = spark.createDataFrame([(i, prose(i, 20), "en", "a", 1) for i in range(3 * BATCH_ROWS)], DOC_SCHEMA)
+    out = step(docs)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    found = [r.n for r in docs.coalesce(1).select("text").mapInArrow(sizes, "n long").collect()]
+    assert sum(found) == 3 * BATCH_ROWS and max(found) <= BATCH_ROWS
+    assert out.count() <= 3 * BATCH_ROWS
+
+
+def test_a_smaller_batch_setting_stays(spark, batch_setting):
+    spark.conf.set(batch_setting, "7")
+    assert found(spark, [(1, "a b"), (2, "a b")]) == [(1, 1, 1), (2, 1, 1)]
+    assert spark.conf.get(batch_setting) == "7"
+
+
+def test_texts_are_signed_a_small_chunk_at_a_time(spark):
+    """Working memory follows the chunk: 2 MB of texts go in many, with the same sets as at once."""
+    data = [(i, prose(i, 400)) for i in range(1000)]
+
+    def measure(bytes_, offsets):
+        return [pa.array([len(bytes_)] * (len(offsets) - 1), pa.int64()), *jaccard_join.sign(bytes_, offsets)]
+
+    df = spark.createDataFrame(data, "doc_id bigint, text string").coalesce(1)
+    out = textbuf.map_texts(df, "text", ["doc_id"], measure, "chunk bigint, n bigint, cls bigint, shown array<bigint>").collect()
+    assert max(r.chunk for r in out) <= textbuf.MAP_CHUNK_BYTES
+    (_, whole, offsets), = textbuf.chunks(pa.array([t for _, t in data]), 1 << 30)
+    at_once = zip(*[a.to_pylist() for a in jaccard_join.sign(whole, offsets)])
+    assert [(r.n, r.cls, r.shown) for r in sorted(out)] == list(at_once)
+
+
 def test_components_after_more_links_equal_those_of_all_links(spark):
     edges = [(1, 2), (2, 3), (10, 11), (20, 21), (21, 22), (30, 31)]
     more = [(3, 11), (22, 40), (50, 51), (51, 52), (5, 30)]
