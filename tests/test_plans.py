@@ -173,3 +173,43 @@ def test_load_fact_leaves_no_scratch_folder(spark):
     assert folders() == before
     shown = {(r.order_id, r.date_key) for r in open_table(spark, wh, "fact_sales").collect()}
     assert shown == {("a", 20240102), ("b", 20240101)}
+
+
+def test_a_publish_stores_its_rows_once_and_shuffles_no_order_that_is_there_once(spark):
+    import os
+
+    from orderlake.operators.fact import build_fact_sales
+    from orderlake.schemas import SALES
+
+    def sale(o, date, amount):
+        row = {"order_id": o, "customer_id": "C1", "product_id": "P1", "order_date": date, "region": "R", "payment_method": "card",
+               "total_amount": amount}
+        return tuple(row.get(c) for c in SALES.names)
+
+    rows = [sale("a", "2024-01-01", 1.0), sale("b", "2024-01-01", 2.0), sale("b", "2024-01-02", 3.0), sale(None, "2024-01-01", 4.0)]
+    bronze = materialize(spark.createDataFrame(rows, SALES), "bronze")
+    region = spark.createDataFrame([(0, "R")], "region_id long, region_name string")
+    payment = spark.createDataFrame([(0, "card")], "payment_id long, payment_method string")
+    once = build_fact_sales(bronze.where("total_amount < 3"), region, payment, 1, 1, keep_state=True)
+    assert "Exchange hashpartitioning" not in _plan(once) and "SortAggregate" not in _plan(once)
+    twice = build_fact_sales(bronze, region, payment, 1, 1, keep_state=True)
+    assert sorted((r.order_id, r.total_amount) for r in twice.collect()) == [("a", 1.0), ("b", 3.0)]
+    wh = Warehouse(scratch_path(spark, "wh-once"))
+    load_fact(spark, wh, twice, "r1")
+    with_best = {os.path.dirname(os.path.join(d, f)) for d, _, names in os.walk(wh.root.replace("file:", "")) for f in names
+                 if f.endswith(".parquet") and "_best" in spark.read.parquet(os.path.join(d, f)).columns}
+    assert len(with_best) == 1  # the part itself, and no copy of it
+    (part,) = with_best
+    assert "run_id=r1" in part
+
+
+def test_versions_are_compared_whole_only_where_they_tie(spark):
+    from orderlake.plans import versions
+
+    rows = [("o1", "r1", (1, "x")), ("o1", "r2", (2, "a")), ("o2", "r1", (1, "x")), ("o2", "r2", (1, "y")),
+            ("o3", "r1", (None, "x")), ("o3", "r2", (1, "a")), ("o4", "r1", (None, "b")), ("o4", "r2", (None, None)),
+            ("o5", "r1", (1, "x")), ("o5", "r1", (1, "x")), ("o5", "r2", (0, "z"))]
+    df = spark.createDataFrame(rows, "order_id string, run_id string, _best struct<d: int, v: string>")
+    got = {r[0]: (sorted(r[1]), r[2]) for r in versions._compare(df, "_best")[0].collect()}
+    assert got == {"o1": (["r1", "r2"], "r2"), "o2": (["r1", "r2"], "r2"), "o3": (["r1", "r2"], "r2"), "o4": (["r1", "r2"], "r1"),
+                   "o5": (["r1", "r1", "r2"], "r1")}
